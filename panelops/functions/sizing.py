@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when a bounded count proves it small; otherwise the
+plain DataFrame is returned and Spark plans a shuffle join (AQE may still turn
+it into a broadcast from runtime statistics, or split skewed partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows, not bytes: every side we broadcast is a narrow dimension or a
+# per-entity stats row (a handful of columns).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Stops reading after
+    ``max_rows + 1`` rows, so the check is cheap on a large input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df
