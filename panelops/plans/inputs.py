@@ -64,3 +64,33 @@ class Inputs:
     @cached_property
     def gaps(self) -> DataFrame:
         return checks.completeness_gaps(self.raw, self.facilities)
+
+    @cached_property
+    def anomaly_features(self) -> DataFrame:
+        from panelops.operators.features import anomaly_features
+
+        return anomaly_features(self.clean)
+
+    @cached_property
+    def forecast_rows(self) -> DataFrame:
+        """Forecast features for every clean row (scoring: no target needed)."""
+        from panelops.operators.features import forecast_dataset
+
+        return forecast_dataset(self.clean, self.facilities, require_target=False)
+
+    @cached_property
+    def dataset(self) -> DataFrame:
+        from panelops.operators.features import forecast_dataset
+
+        return forecast_dataset(self.clean, self.facilities, require_target=True)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        """Distinct keys of injected anomaly candidates."""
+        from pyspark.sql import functions as F
+
+        return (
+            self.ledger.where(F.col("is_anomaly_candidate"))
+            .select(ENTITY, PERIOD)
+            .dropDuplicates([ENTITY, PERIOD])
+        )

@@ -136,6 +136,51 @@ BASE_CTES = {
   CROSS JOIN (SELECT DISTINCT report_month FROM raw) m
   WHERE NOT EXISTS (SELECT 1 FROM raw r WHERE r.facility_id = f.facility_id
                                           AND r.report_month = m.report_month)""",
+    "zs": """
+  SELECT c.*,
+         coalesce((CAST(patients_tested AS DOUBLE) - avg(CAST(patients_tested AS DOUBLE)) OVER w)
+                  / nullif(stddev_samp(CAST(patients_tested AS DOUBLE)) OVER w, 0), 0)
+           AS z_patients_tested,
+         coalesce((suppression_pct - avg(suppression_pct) OVER w)
+                  / nullif(stddev_samp(suppression_pct) OVER w, 0), 0) AS z_suppression_pct,
+         coalesce((drug_stock_level - avg(drug_stock_level) OVER w)
+                  / nullif(stddev_samp(drug_stock_level) OVER w, 0), 0) AS z_drug_stock_level,
+         coalesce((CAST(reporting_delay_days AS DOUBLE)
+                   - avg(CAST(reporting_delay_days AS DOUBLE)) OVER w)
+                  / nullif(stddev_samp(CAST(reporting_delay_days AS DOUBLE)) OVER w, 0), 0)
+           AS z_reporting_delay_days,
+         COUNT(*) OVER w AS history_count
+  FROM clean c WINDOW w AS (PARTITION BY facility_id)""",
+    "ff": """
+  SELECT c.*, f.baseline_patient_volume, f.region,
+         CAST(month(c.report_month) AS INTEGER) AS month_of_year,
+         lag(c.suppression_pct, 1) OVER w AS suppression_pct_lag_1,
+         lag(c.suppression_pct, 2) OVER w AS suppression_pct_lag_2,
+         lag(c.suppression_pct, 3) OVER w AS suppression_pct_lag_3,
+         lag(c.patients_tested, 1) OVER w AS patients_tested_lag_1,
+         lag(c.patients_tested, 2) OVER w AS patients_tested_lag_2,
+         lag(c.patients_tested, 3) OVER w AS patients_tested_lag_3,
+         CASE WHEN count(c.suppression_pct) OVER (PARTITION BY c.facility_id
+                ORDER BY c.report_month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3
+              THEN avg(c.suppression_pct) OVER (PARTITION BY c.facility_id
+                ORDER BY c.report_month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END
+           AS suppression_pct_roll3_mean,
+         lead(c.suppression_pct, 3) OVER w AS target_suppression_pct
+  FROM clean c JOIN facilities f ON c.facility_id = f.facility_id
+  WINDOW w AS (PARTITION BY c.facility_id ORDER BY c.report_month)""",
+    "ds": """
+  SELECT * FROM ff
+  WHERE suppression_pct_lag_1 IS NOT NULL AND suppression_pct_lag_2 IS NOT NULL
+    AND suppression_pct_lag_3 IS NOT NULL AND patients_tested_lag_1 IS NOT NULL
+    AND patients_tested_lag_2 IS NOT NULL AND patients_tested_lag_3 IS NOT NULL
+    AND suppression_pct_roll3_mean IS NOT NULL AND baseline_patient_volume IS NOT NULL
+    AND suppression_pct IS NOT NULL AND patients_tested IS NOT NULL
+    AND target_suppression_pct IS NOT NULL""",
+    "cut": """
+  SELECT min(report_month) AS cutoff
+  FROM (SELECT DISTINCT report_month FROM ds ORDER BY report_month DESC LIMIT 4)""",
+    "candidates": """
+  SELECT DISTINCT facility_id, report_month FROM ledger WHERE is_anomaly_candidate""",
 }
 
 _ORDER = list(BASE_CTES)
