@@ -183,6 +183,7 @@ def classify(
     period: str = PERIOD,
     rules: dict = RANGE_RULES,
     fields=OUTLIER_FIELDS,
+    outlier_threshold: float = OUTLIER_Z_THRESHOLD,
 ) -> DataFrame:
     """Batch rows plus the check flags and ``quarantine_reason`` (NULL = clean).
 
@@ -194,7 +195,7 @@ def classify(
     joined = batch.join(ent, entity, "left").join(dups, [entity, period], "left")
     outlier = F.lit(False)
     for f in fields:
-        outlier = outlier | robust_outlier(f)
+        outlier = outlier | robust_outlier(f, outlier_threshold)
     range_cols = {f"range_{f}": range_violation(f, lo, hi) for f, (lo, hi) in rules.items()}
     flagged = joined.select(
         *[F.col(c) for c in batch.columns],

@@ -15,6 +15,8 @@ from panelops.operators import checks, inject
 from panelops.schemas import ENTITY, PERIOD
 from panelops.sources import panel as panel_src
 
+STRICT_THRESHOLD = 3.0
+
 RAW_COLUMNS = [
     ENTITY,
     PERIOD,
@@ -53,6 +55,15 @@ class Inputs:
     def classified(self) -> DataFrame:
         return checks.classify(self.raw, self.facilities)
 
+    @cached_property
+    def classified_strict(self) -> DataFrame:
+        """Re-validation of the same batch with a stricter outlier threshold."""
+        return checks.classify(self.raw, self.facilities, outlier_threshold=STRICT_THRESHOLD)
+
+    @cached_property
+    def quarantined_strict(self) -> DataFrame:
+        return checks.split(self.classified_strict, RAW_COLUMNS)[1]
+
     @cached_property
     def clean(self) -> DataFrame:
         return checks.split(self.classified, RAW_COLUMNS)[0]

@@ -181,6 +181,38 @@ BASE_CTES = {
   FROM (SELECT DISTINCT report_month FROM ds ORDER BY report_month DESC LIMIT 4)""",
     "candidates": """
   SELECT DISTINCT facility_id, report_month FROM ledger WHERE is_anomaly_candidate""",
+    "flags3": """
+  SELECT r.*,
+         (f.facility_id IS NOT NULL) AS is_known,
+         (d.facility_id IS NOT NULL) AS is_duplicate,
+         COALESCE(r.patients_tested < 0, false) AS range_patients_tested,
+         COALESCE(r.suppression_pct < 0 OR r.suppression_pct > 100, false)
+           AS range_suppression_pct,
+         COALESCE(r.drug_stock_level < 0 OR r.drug_stock_level > 100, false)
+           AS range_drug_stock_level,
+         COALESCE(r.reporting_delay_days < 0, false) AS range_reporting_delay_days,
+         COALESCE(abs(r.patients_tested - x.m_p) / (nullif(x.d_p, 0) * 1.4826) > 3, false)
+         OR COALESCE(abs(r.suppression_pct - x.m_s) / (nullif(x.d_s, 0) * 1.4826) > 3, false)
+         OR COALESCE(abs(r.drug_stock_level - x.m_d) / (nullif(x.d_d, 0) * 1.4826) > 3, false)
+           AS is_outlier
+  FROM raw r
+  LEFT JOIN (SELECT DISTINCT facility_id FROM facilities) f ON r.facility_id = f.facility_id
+  LEFT JOIN dupkeys d ON r.facility_id = d.facility_id AND r.report_month = d.report_month
+  LEFT JOIN mad x ON r.facility_id = x.facility_id""",
+    "classified3": """
+  SELECT *,
+         CASE WHEN NOT is_known THEN 'unknown_facility_id'
+              WHEN is_duplicate THEN 'duplicate_facility_month'
+              WHEN range_patients_tested THEN 'range_patients_tested'
+              WHEN range_suppression_pct THEN 'range_suppression_pct'
+              WHEN range_drug_stock_level THEN 'range_drug_stock_level'
+              WHEN range_reporting_delay_days THEN 'range_reporting_delay_days'
+              WHEN is_outlier THEN 'statistical_outlier' END AS quarantine_reason
+  FROM flags3""",
+    "quarantined3": """
+  SELECT facility_id, report_month, patients_tested, suppression_pct, drug_stock_level,
+         reporting_delay_days, quarantine_reason
+  FROM classified3 WHERE quarantine_reason IS NOT NULL""",
 }
 
 _ORDER = list(BASE_CTES)
