@@ -52,17 +52,19 @@ def build_reasons(
     )
 
 
-_LABELS = F.create_map(*[F.lit(x) for x in chain.from_iterable(FIELD_LABELS.items())])
+def _labels() -> Column:
+    return F.create_map(*[F.lit(x) for x in chain.from_iterable(FIELD_LABELS.items())])
 
 
 def reasons_to_sentence(reasons: Column) -> Column:
     """one sentence per reason joined by '; ' with a final '.', or the
     fallback sentence for an empty list. Unknown fields keep their name."""
+    labels = _labels()
     parts = F.transform(
         reasons,
         lambda r: F.concat(
             F.lit("**"),
-            F.coalesce(F.element_at(_LABELS, r["field"]), r["field"]),
+            F.coalesce(F.element_at(labels, r["field"]), r["field"]),
             F.lit("** was "),
             F.when(r["direction"] == "high", F.lit("much higher")).otherwise(F.lit("much lower")),
             F.lit(" than usual for this clinic"),
