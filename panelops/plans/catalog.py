@@ -8,7 +8,13 @@ to 6 dp on both sides.
 
 from __future__ import annotations
 
-from panelops.plans import q_features, q_storage, q_validation  # noqa: F401  (registration)
+from panelops.plans import (  # noqa: F401  (registration)
+    q_features,
+    q_models,
+    q_monitoring,
+    q_storage,
+    q_validation,
+)
 from panelops.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
