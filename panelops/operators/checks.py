@@ -114,25 +114,24 @@ def value_counts_long(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY
 
 def robust_stats_long(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY) -> DataFrame:
     """(entity, field, median, mad): exact interpolated medians, weighted by
-    value frequency; MAD = median of |value - median|."""
+    value frequency; MAD = median of |value - median|.
+
+    Both medians run as window aggregates over one (entity, field)
+    partitioning of the value counts, so they share a single exchange.
+    """
+    from pyspark.sql import Window
+
     vc = value_counts_long(df, fields, entity)
-    med = vc.groupBy(entity, "field").agg(
-        F.percentile(F.col("value"), F.lit(0.5), F.col("cnt")).alias("median")
-    )
-    mad = (
-        vc.join(med, [entity, "field"])
-        .groupBy(entity, "field", "median")
-        .agg(
-            F.percentile(F.abs(F.col("value") - F.col("median")), F.lit(0.5), F.col("cnt")).alias(
-                "mad"
-            )
-        )
-    )
-    return mad
+    w = Window.partitionBy(entity, "field")
+    med = F.percentile(F.col("value"), F.lit(0.5), F.col("cnt")).over(w)
+    with_med = vc.withColumn("median", med)
+    mad = F.percentile(F.abs(F.col("value") - F.col("median")), F.lit(0.5), F.col("cnt")).over(w)
+    return with_med.withColumn("mad", mad).select(entity, "field", "median", "mad")
 
 
 def robust_stats_wide(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY) -> DataFrame:
-    """One row per entity: ``med_<f>``, ``mad_<f>`` for every field."""
+    """One row per entity: ``med_<f>``, ``mad_<f>`` for every field (the
+    long rows repeat the pair once per distinct value; ``max`` folds them)."""
     long = robust_stats_long(df, fields, entity)
     aggs = []
     for f in fields:
@@ -190,16 +189,21 @@ def classify(
     Priority: unknown id > duplicate key > range rules in rule order >
     statistical outlier.
     """
-    ent = entity_checks(batch, roster, fields, entity)
+    stats = robust_stats_wide(batch, fields, entity)
+    known = bounded_broadcast(known_entities(roster, entity))
     dups = duplicate_keys(batch, (entity, period)).withColumn("_dup", F.lit(True))
-    joined = batch.join(ent, entity, "left").join(dups, [entity, period], "left")
+    joined = (
+        batch.join(known, entity, "left")
+        .join(stats, entity, "left")
+        .join(dups, [entity, period], "left")
+    )
     outlier = F.lit(False)
     for f in fields:
         outlier = outlier | robust_outlier(f, outlier_threshold)
     range_cols = {f"range_{f}": range_violation(f, lo, hi) for f, (lo, hi) in rules.items()}
     flagged = joined.select(
         *[F.col(c) for c in batch.columns],
-        _false_if_null(F.col("is_known")).alias("is_known"),
+        _false_if_null(F.col("_known")).alias("is_known"),
         _false_if_null(F.col("_dup")).alias("is_duplicate"),
         *[v.alias(k) for k, v in range_cols.items()],
         outlier.alias("is_outlier"),

@@ -3,6 +3,12 @@
 Everything derives from the driver's tables, so every query's work grows
 with them: panel from lineitem, roster from supplier/nation/region, raw batch
 and ledger from the panel, clean table from the classified batch.
+
+The panel and the roster are the landing tables of the pipeline; they are
+materialised once per query with a reliable checkpoint (into the shared
+``spark.checkpoint.dir``), like the written tables the jobs read. Without
+that, each branch of a plan (duplicate counts, medians, MADs, roster size
+check, ...) prunes different columns and re-aggregates lineitem on its own.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelops.operators import checks, inject
 from panelops.schemas import ENTITY, PERIOD
+from panelops.session import cut_lineage
 from panelops.sources import panel as panel_src
 
 STRICT_THRESHOLD = 3.0
@@ -37,11 +44,11 @@ class Inputs:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return panel_src.supplier_panel(self.table("lineitem"))
+        return cut_lineage(panel_src.supplier_panel(self.table("lineitem")))
 
     @cached_property
     def facilities(self) -> DataFrame:
-        return panel_src.load_facilities(self.spark, self.sf_dir)
+        return cut_lineage(panel_src.load_facilities(self.spark, self.sf_dir))
 
     @cached_property
     def raw(self) -> DataFrame:
