@@ -75,10 +75,18 @@ def live_forecast_mae(
     horizon_months: int = 3,
     entity: str = ENTITY,
     period: str = PERIOD,
+    input_decimals: int | None = None,
 ) -> DataFrame:
     """Once actuals arrive ``horizon_months`` later, MAE per origin
-    month. Calendar join (not row-based): origin month + horizon must match
-    the actual's month exactly."""
+    month (6 dp). Calendar join (not row-based): origin month + horizon must
+    match the actual's month exactly.
+
+    With ``input_decimals`` (fixed-point inputs, e.g. 4 dp measures) the
+    absolute errors are summed as exact integers in units of
+    10^-input_decimals and the mean is rounded half-up with integer
+    arithmetic, so the result does not depend on summation order (partition
+    layout) at all.
+    """
     f = forecasts.select(
         entity,
         F.col(period).alias("origin_month"),
@@ -86,11 +94,18 @@ def live_forecast_mae(
         F.col(forecast_col).alias("_f"),
     ).where(F.col("_f").isNotNull())
     a = actuals.select(entity, period, F.col(actual_col).alias("_a"))
-    return (
-        f.join(a, [entity, period], "inner")
-        .groupBy("origin_month")
-        .agg(
-            F.count(F.lit(1)).alias("n_matched"),
-            F.round(F.avg(F.abs(F.col("_a") - F.col("_f"))), 6).alias("live_mae"),
+    j = f.join(a, [entity, period], "inner").groupBy("origin_month")
+    err = F.abs(F.col("_a") - F.col("_f"))
+    if input_decimals is None:
+        return j.agg(
+            F.count(F.lit(1)).alias("n_matched"), F.round(F.avg(err), 6).alias("live_mae")
         )
+    unit = 10**input_decimals
+    out = j.agg(
+        F.count(F.lit(1)).alias("n_matched"),
+        F.sum(F.round(err * F.lit(float(unit))).cast("bigint")).alias("_units"),
     )
+    # mean in 1e-6 units, half-up: (2 * units * 10^(6-d) + n) div (2 * n)
+    scale = 10 ** (6 - input_decimals)
+    micro = F.expr(f"(_units * {2 * scale} + n_matched) div (n_matched * 2)")
+    return out.select("origin_month", "n_matched", (micro / F.lit(1e6)).alias("live_mae"))

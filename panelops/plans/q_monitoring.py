@@ -64,13 +64,16 @@ def x1_quarantine_rate_trend(spark, sf_dir):
     "x3_live_forecast_mae",
     with_base(
         """
-SELECT f.report_month AS origin_month, COUNT(*) AS n_matched,
-       round(avg(abs(a.suppression_pct - f.suppression_pct)), 6) AS live_mae
-FROM clean f JOIN clean a
-  ON a.facility_id = f.facility_id AND a.report_month = f.report_month + INTERVAL 3 MONTH
-GROUP BY 1"""
+SELECT origin_month, n_matched,
+       ((units * 200 + n_matched) // (n_matched * 2)) / 1e6 AS live_mae
+FROM (
+  SELECT f.report_month AS origin_month, COUNT(*) AS n_matched,
+         SUM(CAST(round(abs(a.suppression_pct - f.suppression_pct) * 10000) AS BIGINT)) AS units
+  FROM clean f JOIN clean a
+    ON a.facility_id = f.facility_id AND a.report_month = f.report_month + INTERVAL 3 MONTH
+  GROUP BY 1)"""
     ),
 )
 def x3_live_forecast_mae(spark, sf_dir):
     c = Inputs(spark, sf_dir).clean
-    return live_forecast_mae(c, c, "suppression_pct", "suppression_pct")
+    return live_forecast_mae(c, c, "suppression_pct", "suppression_pct", input_decimals=4)
