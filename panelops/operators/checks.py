@@ -251,3 +251,36 @@ def classify_batch(batch: DataFrame, roster: DataFrame, entity: str = ENTITY, pe
     classified = classify(batch, roster, entity, period)
     clean, quarantined = split(classified, batch.columns)
     return clean, quarantined, completeness_gaps(batch, roster, entity, period)
+
+
+# --- B9 -------------------------------------------------------------------------
+def constraint_violations(
+    table: DataFrame, roster: DataFrame, entity: str = ENTITY, period: str = PERIOD
+) -> DataFrame:
+    """Structural constraints of the clean fact table as a report: one row
+    per rule with the number of violating rows (0 = holds). Rules: NOT NULL
+    on key and measures, unique key, entity on the roster, and the CHECK
+    constraints (patients >= 0, 0 <= suppression <= 100, stock >= 0 with no
+    upper bound, delay >= 0). NULL measures are reported, not fatal."""
+    keyed = table.join(
+        duplicate_keys(table, (entity, period)).withColumn("_dup", F.lit(True)),
+        [entity, period],
+        "left",
+    ).join(known_entities(roster, entity), entity, "left")
+    measures = ["patients_tested", "suppression_pct", "drug_stock_level", "reporting_delay_days"]
+    rules = [(f"not_null_{c}", F.col(c).isNull()) for c in [entity, period, *measures]]
+    rules += [
+        ("unique_key", F.coalesce(F.col("_dup"), F.lit(False))),
+        ("foreign_key_facility", F.col("_known").isNull()),
+        ("check_patients_tested", F.col("patients_tested") < 0),
+        ("check_suppression_pct",
+         (F.col("suppression_pct") < 0) | (F.col("suppression_pct") > 100)),
+        ("check_drug_stock_level", F.col("drug_stock_level") < 0),
+        ("check_reporting_delay_days", F.col("reporting_delay_days") < 0),
+    ]
+    counts = keyed.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules])
+    return counts.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n, _ in rules])
+        ).alias("r")
+    ).select("r.rule", "r.violations")

@@ -42,13 +42,24 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return panel_src.table(self.spark, self.sf_dir, name)
 
+    @cached_property
+    def supplier_months(self) -> DataFrame:
+        """The one pass over lineitem, materialised."""
+        return cut_lineage(panel_src.supplier_months(self.table("lineitem")), "supplier_months")
+
     @cached_property
     def panel(self) -> DataFrame:
-        return cut_lineage(panel_src.supplier_panel(self.table("lineitem")))
+        return panel_src.panel_from_supplier_months(self.supplier_months)
 
     @cached_property
     def facilities(self) -> DataFrame:
-        return cut_lineage(panel_src.load_facilities(self.spark, self.sf_dir))
+        return cut_lineage(
+            panel_src.facilities_from_months(
+                self.table("supplier"), self.table("nation"), self.table("region"),
+                self.supplier_months,
+            ),
+            "facilities",
+        )
 
     @cached_property
     def raw(self) -> DataFrame:

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelops.functions.scalars import input_example
 from panelops.models import forecast as fc
 from panelops.models import iforest, registry, treeshap
 from panelops.operators import checks, evaluate, features, report, scoring
@@ -142,10 +143,12 @@ def train_anomaly(
     metrics["excluded_insufficient_history"] = feats.where("insufficient_history").count()
     if ledger is not None:
         metrics.update(evaluate.evaluate_against_ground_truth(scored, ledger).first().asDict())
+    example = input_example(train, KEY, z).toJSON().collect()  # K9: 5 rows
     registry.log_run(
         wh, ctx.run_id, ANOMALY_MODEL_NAME,
         {"model_type": "IsolationForest", "contamination": CONTAMINATION,
-         "n_estimators": n_trees, "random_state": SEED, "z_reason_threshold": Z_REASON_THRESHOLD},
+         "n_estimators": n_trees, "random_state": SEED, "z_reason_threshold": Z_REASON_THRESHOLD,
+         "input_example": "[" + ",".join(example) + "]"},
         metrics, z, path, ctx.now,
     )
     return metrics
@@ -172,10 +175,12 @@ def train_forecast(
     top = treeshap.top_features(treeshap.mean_abs_shap(explained, model.feature_cols), TOP_FEATURES)
     metrics["top_features_by_shap"] = {r["feature"]: r["mean_abs_shap"] for r in top.collect()}
     metrics["test_month_cutoff"] = str(ds.select(features.cutoff_month(ds)).first()[0])
+    example = input_example(test, KEY, list(FORECAST_FEATURES)).toJSON().collect()  # K9
     registry.log_run(
         wh, ctx.run_id, FORECAST_MODEL_NAME,
         {"model_type": "GBTRegressor", "n_estimators": max_iter, "max_depth": GBT_DEPTH,
-         "step_size": GBT_STEP, "random_state": SEED, "horizon_months": 3, "test_months_held_out": 4},
+         "step_size": GBT_STEP, "random_state": SEED, "horizon_months": 3, "test_months_held_out": 4,
+         "input_example": "[" + ",".join(example) + "]"},
         {k: v for k, v in metrics.items() if isinstance(v, (int, float))},
         list(FORECAST_FEATURES), path, ctx.now,
     )

@@ -201,3 +201,45 @@ def a8_a9_validation_report(spark, sf_dir):
 )
 def k5_gap_sample(spark, sf_dir):
     return report.gap_sample(Inputs(spark, sf_dir).gaps)
+
+
+_B9_SQL = """
+SELECT rule, violations FROM (
+  SELECT
+    COUNT(*) FILTER (WHERE r.facility_id IS NULL) AS not_null_facility_id,
+    COUNT(*) FILTER (WHERE r.report_month IS NULL) AS not_null_report_month,
+    COUNT(*) FILTER (WHERE r.patients_tested IS NULL) AS not_null_patients_tested,
+    COUNT(*) FILTER (WHERE r.suppression_pct IS NULL) AS not_null_suppression_pct,
+    COUNT(*) FILTER (WHERE r.drug_stock_level IS NULL) AS not_null_drug_stock_level,
+    COUNT(*) FILTER (WHERE r.reporting_delay_days IS NULL) AS not_null_reporting_delay_days,
+    COUNT(*) FILTER (WHERE d.facility_id IS NOT NULL) AS unique_key,
+    COUNT(*) FILTER (WHERE f.facility_id IS NULL) AS foreign_key_facility,
+    COUNT(*) FILTER (WHERE r.patients_tested < 0) AS check_patients_tested,
+    COUNT(*) FILTER (WHERE r.suppression_pct < 0 OR r.suppression_pct > 100)
+      AS check_suppression_pct,
+    COUNT(*) FILTER (WHERE r.drug_stock_level < 0) AS check_drug_stock_level,
+    COUNT(*) FILTER (WHERE r.reporting_delay_days < 0) AS check_reporting_delay_days
+  FROM raw r
+  LEFT JOIN dupkeys d ON r.facility_id = d.facility_id AND r.report_month = d.report_month
+  LEFT JOIN (SELECT DISTINCT facility_id FROM facilities) f ON r.facility_id = f.facility_id
+) UNPIVOT (violations FOR rule IN (
+    not_null_facility_id, not_null_report_month, not_null_patients_tested,
+    not_null_suppression_pct, not_null_drug_stock_level, not_null_reporting_delay_days,
+    unique_key, foreign_key_facility, check_patients_tested, check_suppression_pct,
+    check_drug_stock_level, check_reporting_delay_days))
+"""
+
+
+@query("b9_constraint_violations", with_base(_B9_SQL))
+def b9_constraint_violations(spark, sf_dir):
+    """B9 on the raw batch as if it were loaded into the fact table: what
+    the table constraints would reject."""
+    i = Inputs(spark, sf_dir)
+    return checks.constraint_violations(i.raw, i.facilities)
+
+
+@query("b9_clean_table_constraints", with_base(_B9_SQL.replace("FROM raw r", "FROM clean r")))
+def b9_clean_table_constraints(spark, sf_dir):
+    """B9 on the classified clean rows: every rule holds (all zeros)."""
+    i = Inputs(spark, sf_dir)
+    return checks.constraint_violations(i.clean, i.facilities)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -63,8 +64,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as Parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    Like a reliable checkpoint this survives executor loss (the files live
+    on the shared file system, not on executors), and unlike RDD checkpoint
+    files the result is columnar: later stages get column pruning, predicate
+    pushdown and Parquet statistics on it.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/panelops-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -72,11 +72,12 @@ def supplier_panel(lineitem: DataFrame) -> DataFrame:
 
 def facilities(supplier: DataFrame, nation: DataFrame, region: DataFrame, lineitem: DataFrame):
     """Roster: suppliers with s_acctbal >= 0, opened on their first ship date."""
-    first_ship = (
-        supplier_months(lineitem)
-        .groupBy("suppkey")
-        .agg(F.min("first_ship").alias("opened_date"))
-    )
+    return facilities_from_months(supplier, nation, region, supplier_months(lineitem))
+
+
+def facilities_from_months(supplier, nation, region, sm: DataFrame) -> DataFrame:
+    """Roster from an already computed (suppkey, month) aggregate."""
+    first_ship = sm.groupBy("suppkey").agg(F.min("first_ship").alias("opened_date"))
     dims = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
     return (
         supplier.where(F.col("s_acctbal") >= 0)
