@@ -50,18 +50,27 @@ def get_spark(
     return spark
 
 
+_FALLBACK_DIR: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; we only pick a scratch folder when
     the setting is unset (local tests).
     """
+    global _FALLBACK_DIR
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="panelops-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current
+    if _FALLBACK_DIR is None:
+        _FALLBACK_DIR = tempfile.mkdtemp(prefix="panelops-ckpt-", dir="/tmp")
+    try:
+        spark.conf.set("spark.checkpoint.dir", _FALLBACK_DIR)
+        spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
+    except Exception:  # noqa: BLE001 - e.g. a session that cannot change it
+        pass
+    return _FALLBACK_DIR
 
 
 def cut_lineage(df, name: str = "stage"):
