@@ -18,8 +18,9 @@ Score (D2): the node table (at most trees * (2 psi - 1) rows, a proven bound)
 goes to the executors as a broadcast; ``mapInPandas`` walks all trees
 vectorised over each Arrow batch. ``s = 2 ** (-E[h] / c(psi))``.
 
-Threshold (D3): the (1 - contamination) quantile of the training scores,
-exact up to ``exact_limit`` rows, ``percentile_approx`` above it. Stored with
+Threshold (D3): the exact (1 - contamination) quantile of the training
+scores (a percentile aggregate up to ``exact_limit`` rows, the distributed
+exact selection of ``functions.quantiles`` above it). Stored with
 the model and never recomputed at scoring time; ``anomaly_score = s - thr``
 and ``is_anomaly = s > thr`` (the sign convention of the reference).
 """
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelops.functions.quantiles import weighted_quantile
 from panelops.schemas import CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
 
 EULER_GAMMA = 0.5772156649015329
@@ -249,12 +251,12 @@ def fit_iforest(
         n_train=n,
         nodes=node_pdf,
     )
-    scored = score_samples(data, model)
+    scored = score_samples(data, model).select("_s", F.lit(1).alias("_one"))
     q = 1.0 - contamination
-    if n <= exact_limit:
-        thr = scored.agg(F.percentile("_s", F.lit(q)).alias("t")).first()["t"]
-    else:
-        thr = scored.agg(F.percentile_approx("_s", F.lit(q), 1_000_000).alias("t")).first()["t"]
+    # Exact at any size: one percentile aggregate up to ``exact_limit``
+    # training rows, the distributed exact selection beyond.
+    strategy = "aggregate" if n <= exact_limit else "distributed"
+    thr = weighted_quantile(scored, [], "_s", "_one", q, "t", strategy=strategy).first()["t"]
     model.threshold = float(thr)
     data.unpersist()
     return model

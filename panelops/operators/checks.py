@@ -24,6 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelops.functions.quantiles import (
+    DEFAULT_MAX_GROUP_VALUES,
+    choose_strategy,
+    weighted_quantile,
+)
 from panelops.functions.sizing import bounded_broadcast
 from panelops.schemas import (
     ENTITY,
@@ -112,27 +117,39 @@ def value_counts_long(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY
     )
 
 
-def robust_stats_long(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY) -> DataFrame:
-    """(entity, field, median, mad): exact interpolated medians, weighted by
-    value frequency; MAD = median of |value - median|.
+def robust_stats_long(
+    df: DataFrame,
+    fields=OUTLIER_FIELDS,
+    entity: str = ENTITY,
+    max_group_values: int = DEFAULT_MAX_GROUP_VALUES,
+) -> DataFrame:
+    """(entity, field, median, mad): exact interpolated medians over the
+    value counts; MAD = median of |value - median| with the same weights.
 
-    Both medians run as window aggregates over one (entity, field)
-    partitioning of the value counts, so they share a single exchange.
+    A per-(entity, field) percentile aggregate is used while every group has
+    at most ``max_group_values`` distinct values (checked); beyond that the
+    exact distributed selection of :mod:`panelops.functions.quantiles` splits
+    hot groups over many tasks.
     """
-    from pyspark.sql import Window
-
     vc = value_counts_long(df, fields, entity)
-    w = Window.partitionBy(entity, "field")
-    med = F.percentile(F.col("value"), F.lit(0.5), F.col("cnt")).over(w)
-    with_med = vc.withColumn("median", med)
-    mad = F.percentile(F.abs(F.col("value") - F.col("median")), F.lit(0.5), F.col("cnt")).over(w)
-    return with_med.withColumn("mad", mad).select(entity, "field", "median", "mad")
+    keys = [entity, "field"]
+    strategy = choose_strategy(vc, keys, max_group_values)
+    med = weighted_quantile(vc, keys, "value", "cnt", 0.5, "median", strategy=strategy)
+    dev = vc.join(med, keys).select(
+        *keys, F.abs(F.col("value") - F.col("median")).alias("value"), "cnt"
+    )
+    mad = weighted_quantile(dev, keys, "value", "cnt", 0.5, "mad", strategy=strategy)
+    return med.join(mad, keys)
 
 
-def robust_stats_wide(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY) -> DataFrame:
-    """One row per entity: ``med_<f>``, ``mad_<f>`` for every field (the
-    long rows repeat the pair once per distinct value; ``max`` folds them)."""
-    long = robust_stats_long(df, fields, entity)
+def robust_stats_wide(
+    df: DataFrame,
+    fields=OUTLIER_FIELDS,
+    entity: str = ENTITY,
+    max_group_values: int = DEFAULT_MAX_GROUP_VALUES,
+) -> DataFrame:
+    """One row per entity: ``med_<f>``, ``mad_<f>`` for every field."""
+    long = robust_stats_long(df, fields, entity, max_group_values)
     aggs = []
     for f in fields:
         aggs.append(F.max(F.when(F.col("field") == f, F.col("median"))).alias(f"med_{f}"))
