@@ -277,3 +277,28 @@ def f13_model_reasons(spark, sf_dir):
 
 # Keep the feature list referenced for readers of the SHAP output order.
 SHAP_FEATURE_ORDER = list(FORECAST_FEATURES)
+
+
+@query("s15_upsert_scored")
+def s15_upsert_scored(spark, sf_dir):
+    """Run-A stored the scores of the months before 1999; run-B scores
+    everything. Overwritten in place, ``scored_at`` keeps its first value,
+    NaN forecasts become NULL."""
+    from panelops.operators import upsert as up
+
+    s = _score_all(fitted(spark, sf_dir)).select(
+        *KEY, "is_anomaly", "anomaly_score", "anomaly_reasons",
+        up.nan_to_null(scoring.FORECAST_COL), "model_version_anomaly", "model_version_forecast",
+    )
+    stored = up.stamp_lineage(
+        s.where(F.col(PERIOD) < F.lit("1999-01-01").cast("date")), "run-A", "1998-12-31",
+        ingested_at="2024-01-01 00:00:00", ts_col="scored_at",
+    )
+    new = up.stamp_lineage(s, "run-B", "2001-12-31", ingested_at="2024-02-01 00:00:00",
+                           ts_col="scored_at")
+    out = up.upsert(stored, new, preserve=("scored_at",))
+    return out.select(
+        *KEY, "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+        F.to_json("anomaly_reasons").alias("anomaly_reasons"),
+        r6(scoring.FORECAST_COL).alias(scoring.FORECAST_COL), "run_id", "scored_at",
+    )
