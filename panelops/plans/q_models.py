@@ -9,7 +9,7 @@ one fit; they are not reproducible by SQL, so these are rows-only checks.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -43,7 +43,8 @@ class Fitted:
         ds = cut_lineage(features.forecast_dataset(self.clean, self.facilities))
         self.train_f, self.test_f = features.time_split(ds)
         self.forecast = fc.fit_forecaster(self.train_f, features.TARGET_COL)
-        self.model_dir = tempfile.mkdtemp(prefix="panelops-model-", dir="/tmp")
+        # Saved under the shared checkpoint folder (never a machine-local dir).
+        self.model_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelops-model-{uuid.uuid4().hex}"
         fc.save(self.forecast, spark, self.model_dir)
         self.nodes = fc.tree_nodes(self.forecast, spark, self.model_dir)
 

@@ -33,3 +33,12 @@ def test_fixture_counts_sf0001(spark):
                    "range_suppression_pct": 3, "statistical_outlier": 7}
     assert checks.completeness_gaps(raw, fac).count() == 29
     assert raw.count() == 819
+
+
+def test_classification_is_partition_independent(spark):
+    p = _panel(spark)
+    raw, _ = inject.inject_issues(p)
+    fac = src.load_facilities(spark, SF_SMALL)
+    one = checks.classify(raw.coalesce(1), fac.coalesce(1)).collect()
+    many = checks.classify(raw.repartition(8), fac.repartition(3)).collect()
+    assert sorted(one) == sorted(many)

@@ -64,3 +64,15 @@ def test_quality_alert_raises():
     with pytest.raises(RuntimeError):
         jobs.quality_alert({"alert_quarantine_rate_exceeded": True, "quarantine_rate": 0.2,
                             "run_id": "r"})
+
+
+def test_publish_writes_one_document(spark):
+    import json
+    import tempfile as tf
+
+    root = tf.mkdtemp(prefix="pub-", dir="/tmp")
+    wh = tb.Warehouse(spark, root)
+    jobs.publish(wh, {"run_id": "r1", "batch_size": 3}, {"rows_scored": 2}, f"{root}/summary")
+    text = spark.read.text(f"{root}/summary").collect()
+    doc = json.loads(text[0].value)
+    assert doc["pipeline_run_id"] == "r1" and doc["scoring"]["rows_scored"] == 2
