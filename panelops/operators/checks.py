@@ -200,13 +200,14 @@ def classify(
     rules: dict = RANGE_RULES,
     fields=OUTLIER_FIELDS,
     outlier_threshold: float = OUTLIER_Z_THRESHOLD,
+    max_group_values: int = DEFAULT_MAX_GROUP_VALUES,
 ) -> DataFrame:
     """Batch rows plus the check flags and ``quarantine_reason`` (NULL = clean).
 
     Priority: unknown id > duplicate key > range rules in rule order >
     statistical outlier.
     """
-    stats = robust_stats_wide(batch, fields, entity)
+    stats = robust_stats_wide(batch, fields, entity, max_group_values)
     known = bounded_broadcast(known_entities(roster, entity))
     dups = duplicate_keys(batch, (entity, period)).withColumn("_dup", F.lit(True))
     joined = (
