@@ -29,7 +29,7 @@ from panelops.functions.quantiles import (
     choose_strategy,
     weighted_quantile,
 )
-from panelops.functions.sizing import bounded_broadcast
+from panelops.functions.sizing import bounded_broadcast, fits
 from panelops.schemas import (
     ENTITY,
     MAD_SCALE,
@@ -133,7 +133,12 @@ def robust_stats_long(
     """
     vc = value_counts_long(df, fields, entity)
     keys = [entity, "field"]
-    strategy = choose_strategy(vc, keys, max_group_values)
+    # A batch with at most ``max_group_values`` rows cannot hold a bigger
+    # group (bounded count, stops early); otherwise check the group sizes.
+    if fits(df, max_group_values):
+        strategy = "aggregate"
+    else:
+        strategy = choose_strategy(vc, keys, max_group_values)
     med = weighted_quantile(vc, keys, "value", "cnt", 0.5, "median", strategy=strategy)
     dev = vc.join(med, keys).select(
         *keys, F.abs(F.col("value") - F.col("median")).alias("value"), "cnt"
