@@ -109,3 +109,25 @@ def test_treeshap_matches_brute_force_and_is_additive(spark):
     assert resid < 1e-9
     top = treeshap.top_features(treeshap.mean_abs_shap(ex, m.feature_cols), 2).collect()
     assert {t.feature for t in top} == {"a", "b"}  # d is pure noise
+
+
+def test_injected_candidates_outrank_other_rows(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from panelops.operators import features
+    from panelops.plans.inputs import Inputs
+    from panelops.schemas import ANOMALY_FIELDS, KEY
+
+    i = Inputs(spark, SF_SMALL)
+    z = [f"z_{f}" for f in ANOMALY_FIELDS]
+    train = features.with_enough_history(features.anomaly_features(i.clean)).select(*KEY, *z)
+    m = iforest.fit_iforest(train, z, KEY, n_trees=100)
+    s = iforest.decision(train, m).join(
+        i.candidates.withColumn("cand", F.lit(True)), KEY, "left"
+    ).withColumn("cand", F.coalesce("cand", F.lit(False)))
+    means = {r.cand: r.m for r in s.groupBy("cand").agg(F.avg("anomaly_score").alias("m")).collect()}
+    assert means[True] > means[False]
+    rates = {r.cand: r.r for r in s.groupBy("cand").agg(
+        F.avg(F.col("is_anomaly").cast("double")).alias("r")).collect()}
+    assert rates[True] > 5 * rates[False]
