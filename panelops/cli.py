@@ -3,7 +3,7 @@
     spark-submit -m panelops.cli ingest --warehouse W --facilities-csv F --reports-csv R \\
         --run-id RUN --dag-logical-date 2024-12-31 --now "2025-01-01 00:00:00"
     ... validate | train-anomaly | train-forecast | register | score | publish
-    ... score-entity --facility-id ID | month-board --month 2024-12-01
+    ... score-entity --facility-id ID | month-board --month 2024-12-01 --out DIR
 
 The logical date and the wall-clock stamp are required arguments; nothing
 reads the clock. Each command prints its JSON result and can also write it
@@ -62,7 +62,8 @@ def main(argv: list[str] | None = None) -> int:
     add("publish", (["--report-file"], {"required": True}), (["--score-file"], {"required": True}),
         (["--out"], {"required": True}))
     add("score-entity", (["--facility-id"], {"required": True}))
-    add("month-board", (["--month"], {"required": True}), (["--flagged-only"], {"action": "store_true"}))
+    add("month-board", (["--month"], {"required": True}), (["--out"], {"required": True}),
+        (["--flagged-only"], {"action": "store_true"}))
     args = p.parse_args(argv)
 
     from panelops.plans import jobs, views
@@ -122,9 +123,10 @@ def main(argv: list[str] | None = None) -> int:
         )
         if args.flagged_only:
             board = views.flagged(board)
-        # A one-month board is bounded by the number of entities reporting.
-        res = {"kpis": views.kpis(board).first().asDict(),
-               "rows": [r.asDict(recursive=True) for r in board.drop("anomaly_reasons").collect()]}
+        # The board is written out (JSON lines, reasons kept nested); only the
+        # one-row KPIs come back to the driver.
+        files.write_json(board, args.out)
+        res = {"kpis": views.kpis(board).first().asDict(), "board": args.out}
     _emit(res, args.output_file)
     return 0
 

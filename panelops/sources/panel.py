@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelops.functions.sizing import bounded_broadcast
 from panelops.schemas import ENTITY, PERIOD
 
 
@@ -78,10 +79,10 @@ def facilities(supplier: DataFrame, nation: DataFrame, region: DataFrame, lineit
 def facilities_from_months(supplier, nation, region, sm: DataFrame) -> DataFrame:
     """Roster from an already computed (suppkey, month) aggregate."""
     first_ship = sm.groupBy("suppkey").agg(F.min("first_ship").alias("opened_date"))
-    dims = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    dims = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
     return (
         supplier.where(F.col("s_acctbal") >= 0)
-        .join(F.broadcast(dims), supplier.s_nationkey == dims.n_nationkey)
+        .join(bounded_broadcast(dims), supplier.s_nationkey == dims.n_nationkey)
         .join(first_ship, supplier.s_suppkey == first_ship.suppkey, "left")
         .select(
             entity_id(F.col("s_suppkey")).alias(ENTITY),
