@@ -1,6 +1,6 @@
 """Command-line entry points, one per pipeline job (for ``spark-submit``).
 
-    spark-submit -m panelops.cli ingest --warehouse W --facilities-csv F --reports-csv R \\
+    spark-submit panelops/cli.py ingest --warehouse W --facilities-csv F --reports-csv R \\
         --run-id RUN --dag-logical-date 2024-12-31 --now "2025-01-01 00:00:00"
     ... validate | train-anomaly | train-forecast | register | score | publish
     ... score-entity --facility-id ID | month-board --month 2024-12-01 --out DIR

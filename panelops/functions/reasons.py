@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from panelops.schemas import (
     ANOMALY_FIELDS,
+    DIRECTION_WORDS,
     FALLBACK_SENTENCE,
     FIELD_LABELS,
+    REASON_SENTENCE,
     REASONS,
     Z_REASON_THRESHOLD,
 )
@@ -60,14 +62,18 @@ def reasons_to_sentence(reasons: Column) -> Column:
     """one sentence per reason joined by '; ' with a final '.', or the
     fallback sentence for an empty list. Unknown fields keep their name."""
     labels = _labels()
+    head, rest = REASON_SENTENCE.split("{label}")
+    middle, tail = rest.split("{direction}")
     parts = F.transform(
         reasons,
         lambda r: F.concat(
-            F.lit("**"),
+            F.lit(head),
             F.coalesce(F.element_at(labels, r["field"]), r["field"]),
-            F.lit("** was "),
-            F.when(r["direction"] == "high", F.lit("much higher")).otherwise(F.lit("much lower")),
-            F.lit(" than usual for this clinic"),
+            F.lit(middle),
+            F.when(r["direction"] == "high", F.lit(DIRECTION_WORDS["high"])).otherwise(
+                F.lit(DIRECTION_WORDS["low"])
+            ),
+            F.lit(tail),
         ),
     )
     return F.when(

@@ -70,14 +70,19 @@ FIELD_LABELS = {
     "drug_stock_level": "drug stock level",
     "reporting_delay_days": "reporting delay",
 }
+# One sentence per reason: "**<label>** was much higher than usual for this clinic",
+# joined with "; " and closed with ".".
+REASON_SENTENCE = "**{label}** was {direction} than usual for this clinic"
+DIRECTION_WORDS = {"high": "much higher", "low": "much lower"}
 FALLBACK_SENTENCE = (
     "Flagged by the model, but no single indicator crossed the plain-language threshold."
 )
-# Registry model names.
-ANOMALY_MODEL_NAME = "health-anomaly-detector"
-FORECAST_MODEL_NAME = "health-suppression-forecaster"
 # ---------------------------------------------------------------------------
 
+# Registry model names (ours; any names work).
+ANOMALY_MODEL_NAME = "panel-anomaly-detector"
+FORECAST_MODEL_NAME = "panel-forecaster"
+
 RAW_REPORT = T.StructType(
     [
         T.StructField(ENTITY, T.StringType(), False),

@@ -7,6 +7,7 @@ from panelops.models import registry
 from panelops.operators import scoring
 from panelops.plans import jobs, views
 from panelops.plans.inputs import Inputs
+from panelops.schemas import ANOMALY_MODEL_NAME, FORECAST_MODEL_NAME
 from panelops.sources import tables as tb
 
 
@@ -34,7 +35,7 @@ def test_monthly_run_end_to_end_and_rerun(spark):
     assert wh.read(tb.SCORED_TABLE).agg(F.max("scored_at")).first()[0] == first_stamp
 
     # A second registration moves the current version to 2.
-    assert registry.register(wh, "run-1", "health-anomaly-detector", "2002-03-01 00:00:00") == "2"
+    assert registry.register(wh, "run-1", ANOMALY_MODEL_NAME, "2002-03-01 00:00:00") == "2"
 
     # Month board and KPIs for the latest month.
     month = views.available_months(wh.read(tb.SCORED_TABLE)).first()[0]
@@ -46,8 +47,8 @@ def test_monthly_run_end_to_end_and_rerun(spark):
 
     # Point scoring: ok for a known entity, not_found for an unknown one.
     from panelops.models import forecast as fc, iforest
-    va, pa = registry.resolve_latest(wh, "health-anomaly-detector")
-    vf, pf = registry.resolve_latest(wh, "health-suppression-forecaster")
+    va, pa = registry.resolve_latest(wh, ANOMALY_MODEL_NAME)
+    vf, pf = registry.resolve_latest(wh, FORECAST_MODEL_NAME)
     a, f = iforest.load(spark, pa), fc.load(spark, pf)
     clean = wh.read(tb.CLEAN_TABLE)
     fac = wh.read(tb.FACILITIES_TABLE)
