@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelops.functions.quantiles import weighted_quantile
+from panelops.functions.quantiles import DEFAULT_MAX_GROUP_VALUES, weighted_quantile
 from panelops.schemas import CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
 
 EULER_GAMMA = 0.5772156649015329
@@ -201,7 +201,7 @@ def fit_iforest(
     contamination: float = CONTAMINATION,
     seed: int = SEED,
     oversample: float = 2.0,
-    exact_limit: int = 10_000_000,
+    exact_limit: int = DEFAULT_MAX_GROUP_VALUES,
 ) -> IForestModel:
     """D1 + D3: fit on ``df`` (rows = training set) and set the threshold."""
     from pyspark import StorageLevel
