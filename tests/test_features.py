@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import batch, monthly, row
+from conftest import batch, monthly
 from panelops.operators import features as feat
 
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from panelops.operators import checks, inject
