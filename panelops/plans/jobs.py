@@ -39,7 +39,7 @@ from panelops.schemas import (
     TOP_FEATURES,
     Z_REASON_THRESHOLD,
 )
-from panelops.session import cut_lineage
+from panelops.session import cut_lineage, lineage_scope
 from panelops.sources import tables as tb
 
 RAW_COLUMNS = [f.name for f in tb.RAW_REPORT.fields]
@@ -52,6 +52,19 @@ class RunContext:
     now: str  # yyyy-MM-dd HH:mm:ss, the job's wall-clock stamp
 
 
+def _scoped(fn):
+    """Run a job inside a lineage scope: its intermediate cuts are deleted
+    when it returns (results are plain dicts, tables are already written)."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(wh, *args, **kwargs):
+        with lineage_scope(wh.spark):
+            return fn(wh, *args, **kwargs)
+
+    return wrapper
+
+
 # --- P1 -------------------------------------------------------------------------
 def ingest(
     wh: tb.Warehouse, facilities: DataFrame, raw: DataFrame, ctx: RunContext, source_file: str
@@ -72,6 +85,7 @@ def ingest(
 
 
 # --- P2 -------------------------------------------------------------------------
+@_scoped
 def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run") -> dict:
     """S6/S7 -> B1-B5 -> S13+S12 (one merge) -> S14 -> A9 report."""
     batch = wh.read(tb.RAW_TABLE).where(F.col("run_id") == ctx.run_id).select(*RAW_COLUMNS)
@@ -120,6 +134,7 @@ def quality_alert(report_row: dict) -> None:
 
 
 # --- train ------------------------------------------------------------------------
+@_scoped
 def train_anomaly(
     wh: tb.Warehouse,
     ctx: RunContext,
@@ -154,6 +169,7 @@ def train_anomaly(
     return metrics
 
 
+@_scoped
 def train_forecast(
     wh: tb.Warehouse, ctx: RunContext, model_root: str, max_iter: int = GBT_TREES
 ) -> dict:
@@ -188,6 +204,7 @@ def train_forecast(
 
 
 # --- P4 -------------------------------------------------------------------------
+@_scoped
 def score(wh: tb.Warehouse, ctx: RunContext) -> dict:
     """D13 with the registered models, S15 upsert (``scored_at`` keeps its
     first value), A16 summary."""

@@ -7,6 +7,7 @@ caller's session is used as is.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -86,4 +87,33 @@ def cut_lineage(df, name: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/panelops-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    for scope in _SCOPES:
+        scope.append(path)
     return spark.read.parquet(path)
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def lineage_scope(spark: SparkSession):
+    """Delete the lineage cuts made inside the block when it exits.
+
+    Jobs wrap their body in it: once the final tables are written, the
+    intermediate Parquet folders in the shared checkpoint folder are no
+    longer read by anything. DataFrames returned from inside the block must
+    not be used after it.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)

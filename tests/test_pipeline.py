@@ -77,3 +77,15 @@ def test_publish_writes_one_document(spark):
     text = spark.read.text(f"{root}/summary").collect()
     doc = json.loads(text[0].value)
     assert doc["pipeline_run_id"] == "r1" and doc["scoring"]["rows_scored"] == 2
+
+
+def test_lineage_scope_deletes_its_cuts(spark):
+    import os
+
+    from panelops.session import cut_lineage, lineage_scope
+
+    with lineage_scope(spark):
+        df = cut_lineage(spark.range(10), "t")
+        path = df.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+        assert df.count() == 10 and os.path.exists(path)
+    assert not os.path.exists(path)
