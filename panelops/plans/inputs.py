@@ -71,12 +71,17 @@ class Inputs:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return checks.classify(self.raw, self.facilities)
+        """Materialised like in the validate job: the clean rows, the
+        quarantine and the report all read it."""
+        return cut_lineage(checks.classify(self.raw, self.facilities), "classified")
 
     @cached_property
     def classified_strict(self) -> DataFrame:
         """Re-validation of the same batch with a stricter outlier threshold."""
-        return checks.classify(self.raw, self.facilities, outlier_threshold=STRICT_THRESHOLD)
+        return cut_lineage(
+            checks.classify(self.raw, self.facilities, outlier_threshold=STRICT_THRESHOLD),
+            "classified_strict",
+        )
 
     @cached_property
     def quarantined_strict(self) -> DataFrame:
