@@ -241,8 +241,14 @@ def p9_versions_in_use(spark, sf_dir):
     )
 
 
-@query("s8_available_months")
+@query(
+    "s8_available_months",
+    with_base("SELECT DISTINCT report_month FROM zs WHERE history_count >= 2"),
+)
 def s8_available_months(spark, sf_dir):
+    """Months of the scored table, newest first. Every clean row of an entity
+    with enough history is scored, so the month set does not depend on the
+    models and is checked against SQL."""
     return views.available_months(_score_all(fitted(spark, sf_dir)))
 
 
