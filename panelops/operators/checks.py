@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelops.functions.quantiles import (
     DEFAULT_MAX_GROUP_VALUES,
@@ -254,19 +255,22 @@ def completeness_gaps(
     """(entity, period) pairs of roster entities missing from the batch, over
     the months observed anywhere in the batch.
 
-    The month set is a scalar subquery (one sorted array, bounded by the
-    calendar span), so the expected grid is roster x months generated by
-    ``explode`` rather than a cross join; present keys are anti-joined on
-    the full key.
+    The expected roster x month grid is never built: each entity's present
+    months are one partial ``collect_set`` (at most one entry per calendar
+    month, even for an entity with millions of copies), joined to the roster,
+    and only ``array_except(all months, present months)`` is exploded, so the
+    output rows are the gaps themselves. The month set is a scalar subquery
+    bounded by the calendar span.
     """
     months = batch.agg(F.array_sort(F.collect_set(period)).alias("m")).scalar()
-    expected = (
+    present = batch.groupBy(entity).agg(F.collect_set(period).alias("_have"))
+    have = F.coalesce(F.col("_have"), F.array().cast(T.ArrayType(batch.schema[period].dataType)))
+    return (
         roster.select(entity)
         .distinct()
-        .select(entity, F.explode(months).alias(period))
+        .join(present, entity, "left")
+        .select(entity, F.explode(F.array_except(months, have)).alias(period))
     )
-    present = batch.select(entity, period).distinct()
-    return expected.join(present, [entity, period], "left_anti")
 
 
 def classify_batch(batch: DataFrame, roster: DataFrame, entity: str = ENTITY, period: str = PERIOD):
