@@ -96,7 +96,12 @@ def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run")
     clean_rows, quarantined = checks.split(classified, RAW_COLUMNS)
 
     touched = classified.select(PERIOD).distinct()
-    stored = wh.read(tb.CLEAN_TABLE).join(touched, PERIOD, "left_semi")
+    # The batch's months as a literal list (bounded by the calendar span, a
+    # few hundred values at most): static partition pruning, so only the
+    # touched months of the stored tables are read.
+    months = [r[0] for r in touched.collect()]
+    in_batch = F.col(PERIOD).isin(months)
+    stored = wh.read(tb.CLEAN_TABLE).where(in_batch)
     incoming = up.stamp_lineage(
         clean_rows, ctx.run_id, ctx.dag_logical_date, ingested_at=ctx.now
     )
@@ -107,8 +112,8 @@ def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run")
 
     # Cascade: scored rows whose key left the clean table go too.
     if wh.exists(wh.path(tb.SCORED_TABLE)):
-        scored = wh.read(tb.SCORED_TABLE).join(touched, PERIOD, "left_semi")
-        kept = up.cascade_retraction(scored, wh.read(tb.CLEAN_TABLE).join(touched, PERIOD, "left_semi"))
+        scored = wh.read(tb.SCORED_TABLE).where(in_batch)
+        kept = up.cascade_retraction(scored, wh.read(tb.CLEAN_TABLE).where(in_batch))
         wh.overwrite_touched(tb.SCORED_TABLE, cut_lineage(kept), touched)
 
     q = up.stamp_lineage(quarantined, ctx.run_id, ctx.dag_logical_date).withColumn(
