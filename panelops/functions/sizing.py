@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Rows, not bytes: every side we broadcast is a narrow dimension or a
 # per-entity stats row (a handful of columns).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000  # ~20-60 MB for the narrow sides we broadcast
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
