@@ -56,6 +56,10 @@ def test_monthly_run_end_to_end_and_rerun(spark):
     assert len(ok) == 1 and ok[0].status == "ok"
     missing = scoring.score_entity(clean, fac, "S-nope", a, f, va, vf).collect()
     assert len(missing) == 1 and missing[0].status == "not_found"
+    one_month = clean.limit(1).withColumn("facility_id", F.lit("S-new"))
+    short = scoring.score_entity(clean.unionByName(one_month), fac, "S-new", a, f, va, vf).collect()
+    assert len(short) == 1 and short[0].status == "insufficient_history"
+    assert short[0].is_anomaly is None and short[0].anomaly_score is None
 
 
 def test_quality_alert_raises():
