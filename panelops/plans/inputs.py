@@ -4,11 +4,13 @@ Everything derives from the driver's tables, so every query's work grows
 with them: panel from lineitem, roster from supplier/nation/region, raw batch
 and ledger from the panel, clean table from the classified batch.
 
-The panel and the roster are the landing tables of the pipeline; they are
-materialised once per query with a reliable checkpoint (into the shared
-``spark.checkpoint.dir``), like the written tables the jobs read. Without
+The (supplier, month) aggregate, the roster and the classified batch are
+what the pipeline writes as tables; here they are materialised once per
+query as Parquet under the shared ``spark.checkpoint.dir`` (see
+``session.cut_lineage``), like the written tables the jobs read. Without
 that, each branch of a plan (duplicate counts, medians, MADs, roster size
-check, ...) prunes different columns and re-aggregates lineitem on its own.
+check, report pieces, ...) prunes different columns and re-derives its
+input from lineitem on its own.
 """
 
 from __future__ import annotations
