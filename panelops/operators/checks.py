@@ -8,15 +8,16 @@ Plan shape (one batch):
 
 * per-entity robust statistics come from an unpivoted (entity, field,
   value) -> count pre-aggregate, so copies collapse map-side and a hot entity
-  never ships raw rows to one reducer; medians are exact
-  (``percentile(value, 0.5, count)``);
-* the roster flag and the robust statistics are one per-entity row, joined
-  back to the batch once on ``entity``;
+  never ships raw rows to one reducer; medians are exact (a percentile
+  aggregate under a checked bound, the distributed selection of
+  ``functions.quantiles`` above it);
+* the roster flag is a size-checked broadcast of the roster ids;
+* the robust statistics (one row per entity) are joined back on ``entity``;
 * duplicate keys come from a partial ``groupBy(key).count()`` and only keys
   seen twice are joined back on the full key.
 
-Both joins are plain equi-joins: AQE broadcasts them when the runtime side is
-small and splits skewed batch partitions when one entity is hot.
+The join-backs are plain equi-joins: AQE broadcasts them when the runtime side
+is small and splits skewed batch partitions when one entity is hot.
 """
 
 from __future__ import annotations
