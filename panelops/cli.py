@@ -22,9 +22,10 @@ from pyspark.sql import SparkSession
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("panelops").getOrCreate()
-    from panelops.session import ensure_checkpoint_dir
+    from panelops.session import ensure_checkpoint_dir, ship_package
 
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 

@@ -7,10 +7,14 @@ caller's session is used as is.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import contextvars
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,27 +55,61 @@ def get_spark(
     return spark
 
 
-_FALLBACK_DIR: str | None = None
+_LOCAL_DIR: str | None = None
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only pick a scratch folder when
-    the setting is unset (local tests).
+    A cluster names a shared folder there. Where the setting is missing, a
+    single-machine session (tests) gets a scratch folder that is deleted when
+    the process ends; on a cluster a missing setting is an error, because a
+    folder local to one machine cannot be read by the others.
     """
-    global _FALLBACK_DIR
+    global _LOCAL_DIR
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
-    if _FALLBACK_DIR is None:
-        _FALLBACK_DIR = tempfile.mkdtemp(prefix="panelops-ckpt-", dir="/tmp")
-    try:
-        spark.conf.set("spark.checkpoint.dir", _FALLBACK_DIR)
-        spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
-    except Exception:  # noqa: BLE001 - e.g. a session that cannot change it
-        pass
-    return _FALLBACK_DIR
+    if not _is_local(spark):
+        raise ValueError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all "
+            "executors share before the session starts"
+        )
+    if _LOCAL_DIR is None:
+        _LOCAL_DIR = tempfile.mkdtemp(prefix="panelops-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, _LOCAL_DIR, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(_LOCAL_DIR)
+    return _LOCAL_DIR
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per application).
+
+    Arrow and pandas functions are pickled by reference, so every worker
+    imports ``panelops``. Needed where the package is only on the driver's
+    path; harmless where it is installed everywhere.
+    """
+    sc = spark.sparkContext
+    if _SHIPPED.get("app") == sc.applicationId:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="panelops-zip-"), "panelops.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "panelops")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED["app"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
 
 
 def cut_lineage(df, name: str = "stage"):
@@ -87,12 +125,15 @@ def cut_lineage(df, name: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/panelops-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    for scope in _SCOPES:
+    scope = _SCOPE.get()
+    if scope is not None:
         scope.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-_SCOPES: list[list[str]] = []
+# The innermost open scope of the running thread (or task): a scope opened by
+# one thread never sees the cuts of another.
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 
 
 @contextlib.contextmanager
@@ -105,15 +146,18 @@ def lineage_scope(spark: SparkSession):
     not be used after it.
     """
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        _SCOPES.remove(paths)
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-        for path in paths:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            fs = p.getFileSystem(conf)
-            if fs.exists(p):
-                fs.delete(p, True)
+        _SCOPE.reset(token)
+        delete_paths(spark, paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    conf = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
