@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-OPEN_BINS = 1024
+OPEN_BINS = 8192
 GROUP_DOCS = 8192
 
 PIECE = "doc_id bigint, copy bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
