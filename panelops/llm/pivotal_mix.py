@@ -8,32 +8,31 @@ that order, so one running sum finds the level).
 
 Copies: a document of source s wants ``c = target / size`` copies. It gets
 ``floor(c)`` for sure and the fraction ``p`` at random, where the fractions of
-a source are rounded together: two units transfer mass until one of them is 0
-or 1 (Deville and Tille's pivotal method),
-
-    a + b < 1:   (a, b) -> (a + b, 0) with chance a / (a + b), else (0, a + b)
-    a + b >= 1:  (a, b) -> (1, a + b - 1) with chance (1 - b) / (2 - a - b),
-                 else (a + b - 1, 1)
-
-so every unit keeps its expectation and the number of copies is fixed but for
-one last fraction. Units meet others of nearly the same size first, which
-fixes the words taken as well.
-
-Reduction tree: units are dealt to blocks of about ``BLOCK`` by (source, size
-class, hash); a block is rounded in one array pass and hands its one residual
-unit to the next level, ``BLOCK`` blocks to one, until one residual per size
-class and then per source is left. A source with a third of all documents is
-only more blocks; nothing is collected beyond a block.
+a source are rounded together (Deville and Tille's pivotal method, with the
+words as the mass that is transferred). Two units a and b of u and v words can
+move ``up = min((1 - a) u, b v)`` words from b to a, or
+``down = min(a u, (1 - b) v)`` the other way; either makes one of them 0 or 1.
+``up`` is drawn with chance ``down / (up + down)``, so every unit keeps its
+expectation, while the words taken never change: a source misses its target
+by less than the last unit left, one document.
+
+Reduction tree: units are dealt to blocks of about ``BLOCK`` by (source,
+hash); a block is rounded in one array pass, large units first, and hands its
+one residual unit to the next level, ``BLOCK`` blocks to one, until one
+residual per source is left. About ``RESERVE`` units of each source are kept
+back for the last level, where they settle a large residual; what is left then
+is mostly one small unit, drawn by itself. A source with a third of all
+documents is only more blocks; nothing is collected beyond a block.
 
 Random numbers are hashes of the unit, so reruns and any partitioning agree.
 
 Native: DataFrame functions only.
 
-Defined cases: a null text has size 0; documents of size 0, or of a source of
-size 0, are taken 0 times as words (copies may be drawn but hold none); rows
-equal in doc_id, source and size share one decision and count together; a
-null source is a source of its own, last in order; an empty table gives no
-rows; extra columns are ignored.
+Defined cases: a null text has size 0; documents of size 0 have the whole part
+of their source's copies (they hold no words); rows equal in doc_id, source
+and size share one decision and count together; a null source is a source of
+its own, last in order; an empty table gives no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -52,6 +51,7 @@ TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2.0
 
 BLOCK = 128
+RESERVE = 1024
 UNIT = ["doc_id", "source", "size"]
 
 
@@ -87,48 +87,47 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
     )
 
 
-def _size_class(size: Column) -> Column:
-    """Classes about 9 % wide."""
-    return F.floor(8 * F.log2(size + F.lit(1.0))).cast("int")
+# A unit of the tree; ``order`` is minus its words, so sorting puts large first.
+FIELDS = ["order", "h", "doc_id", "size", "copies"]
 
 
 def _pivot(units: Column, level: int) -> Column:
-    """Round an array of units with fractions p in order. Struct (done, rest): ``done``
-    has every unit that became 0 or 1 with that value in p, ``rest`` the one
-    that is left (null for an empty array)."""
+    """Round an array of units with fractions p in order. Struct (done, rest):
+    ``done`` has every unit that became 0 or 1 with that value in p, ``rest``
+    the one that is left."""
 
     def with_p(unit: Column, p: Column) -> Column:
-        return F.struct(*[unit[c].alias(c) for c in UNIT_STRUCT], p.alias("p"))
-
-    def step(state: Column, unit: Column) -> Column:
-        a, b = state["rest"]["p"], unit["p"]
-        total = a + b
-        u = unit_random(F.lit(level), unit["h"])
-        low = total < 1
-        a_stays = F.when(
-            low, u * total < a  # a takes all the mass, b becomes 0
-        ).otherwise(u * (2 - total) >= 1 - b)  # b becomes 1, a keeps total - 1
-        kept = F.when(low, total).otherwise(total - 1)
-        settled = F.when(low, F.lit(0.0)).otherwise(F.lit(1.0))
-        done = F.when(a_stays, with_p(unit, settled)).otherwise(with_p(state["rest"], settled))
-        rest = F.when(a_stays, with_p(state["rest"], kept)).otherwise(with_p(unit, kept))
+        return F.struct(*[unit[c].alias(c) for c in FIELDS], p.alias("p"))
+
+    def step(state: Column, b: Column) -> Column:
+        a = state["rest"]
+        wa, wb = -a["order"], -b["order"]
+        up = F.least((1 - a["p"]) * wa, b["p"] * wb)
+        down = F.least(a["p"] * wa, (1 - b["p"]) * wb)
+        rises = unit_random(F.lit(level), b["h"]) * (up + down) < down
+        # The unit that becomes 0 or 1, and what the other one has then.
+        a_done = F.when(rises, (1 - a["p"]) * wa <= b["p"] * wb).otherwise(
+            a["p"] * wa <= (1 - b["p"]) * wb
+        )
+        moved = F.when(rises, up).otherwise(-down)
+        done = F.when(a_done, with_p(a, F.when(rises, 1.0).otherwise(0.0))).otherwise(
+            with_p(b, F.when(rises, 0.0).otherwise(1.0))
+        )
+        inside = lambda p: F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+        rest = F.when(a_done, with_p(b, inside(b["p"] - moved / wb))).otherwise(
+            with_p(a, inside(a["p"] + moved / wa))
+        )
         return F.struct(F.array_append(state["done"], done).alias("done"), rest.alias("rest"))
 
-    start = F.struct(
-        F.slice(units, 1, 0).alias("done"), F.element_at(units, 1).alias("rest")
-    )
+    start = F.struct(F.slice(units, 1, 0).alias("done"), F.element_at(units, 1).alias("rest"))
     return F.aggregate(F.slice(units, F.lit(2), F.size(units)), start, step)
 
 
-UNIT_STRUCT = ["size", "h", "doc_id", "copies", "n", "cls"]
-
-
 def _round_level(
     units: DataFrame, keys: list[str], level: int
 ) -> tuple[DataFrame, DataFrame]:
     """One level of the tree: (settled units, one residual unit per key)."""
-    # Arrays are sorted by size, then hash: neighbours have nearly equal size.
-    block = F.sort_array(F.collect_list(F.struct(*UNIT_STRUCT, "p")))
+    block = F.sort_array(F.collect_list(F.struct(*FIELDS, "p")))
     rounded = cut_lineage(
         units.groupBy(*keys).agg(block.alias("_b")).select(
             *keys, _pivot(F.col("_b"), level).alias("_r")
@@ -136,8 +135,7 @@ def _round_level(
         "pivot",
     )
     settled = rounded.select("source", F.explode("_r.done").alias("_u")).select("source", "_u.*")
-    residual = rounded.select(*keys, "_r.rest.*")
-    return settled, residual
+    return settled, rounded.select(*keys, "_r.rest.*")
 
 
 def copies(units: DataFrame) -> DataFrame:
@@ -147,44 +145,55 @@ def copies(units: DataFrame) -> DataFrame:
     Returns doc_id, source, size, copies.
     """
     whole = F.floor("want")
-    start = units.select(
-        "doc_id", "source", "size", "n", whole.alias("copies"), (F.col("want") - whole).alias("p"),
-        F.xxhash64("doc_id", "source", "size").alias("h"),
-        _size_class(F.col("size") * F.col("n")).alias("cls"),
+    fraction = F.when(F.col("size") > 0, F.col("want") - whole).otherwise(0.0)
+    start = cut_lineage(
+        units.select(
+            "source", (-F.col("size") * F.col("n")).cast("double").alias("order"),
+            F.xxhash64("doc_id", "source", "size").alias("h"), "doc_id", "size",
+            whole.alias("copies"), fraction.alias("p"),
+        ),
+        "units",
     )
-    start = cut_lineage(start, "units")
-    done = [start.where(F.col("p") <= 0).select("source", *UNIT_STRUCT, "p")]
+    done = [start.where(F.col("p") <= 0)]
     open_units = start.where(F.col("p") > 0)
-    classes = cut_lineage(
-        open_units.groupBy(F.col("source").alias("_s"), F.col("cls").alias("_c")).agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("_blocks")
+    sources = cut_lineage(
+        open_units.groupBy(F.col("source").alias("_s")).agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("_blocks"),
+            (F.lit(float(RESERVE)) / F.count(F.lit(1))).alias("_share"),
         ),
-        "classes",
+        "blocks",
+    )
+    blocks = sources.agg(F.max("_blocks")).first()[0] or 0
+    kept_back = (F.col("_share") > 0.5) | (unit_random(F.lit(-2), "h") < F.col("_share"))
+    dealt = open_units.join(sources, F.col("source").eqNullSafe(F.col("_s"))).select(
+        "source", *FIELDS, "p", F.pmod("h", "_blocks").alias("block"), kept_back.alias("_back")
     )
-    blocks = classes.agg(F.max("_blocks")).first()[0] or 0
-    level = open_units.join(
-        classes, F.col("source").eqNullSafe(F.col("_s")) & (F.col("cls") == F.col("_c"))
-    ).select("source", "_c", *UNIT_STRUCT, "p", F.pmod("h", "_blocks").alias("block"))
+    reserve = dealt.where("_back").select("source", *FIELDS, "p")
+    level = dealt.where("not _back").drop("_back")
     rounds = 1 + (math.ceil(math.log(blocks, BLOCK) - 1e-9) if blocks > 1 else 0)
     for r in range(rounds):
-        settled, residual = _round_level(level, ["source", "_c", "block"], r)
+        settled, residual = _round_level(level, ["source", "block"], r)
         done.append(settled)
         level = residual.withColumn("block", F.floor(F.col("block") / BLOCK))
-    settled, last = _round_level(level, ["source"], rounds)
+    last = level.select("source", *FIELDS, "p").unionByName(reserve)
+    settled, level = _round_level(last, ["source"], rounds)
     done.append(settled)
-    # The last unit of a source is drawn by itself.
-    drawn = F.when(
-        unit_random(F.lit(91), "doc_id", "source", "size") < F.col("p"), 1.0
-    ).otherwise(0.0)
-    done.append(last.withColumn("p", drawn).select("source", *UNIT_STRUCT, "p"))
-    out = done[0]
+    # One residual per source is left; the last unit is drawn by itself.
+    drawn = F.when(unit_random(F.lit(-1), "h") < F.col("p"), 1.0).otherwise(0.0)
+    done.append(level.withColumn("p", drawn))
+    out = done[0].select("source", *FIELDS, "p")
     for d in done[1:]:
-        out = out.unionByName(d.select(*out.columns))
+        out = out.unionByName(d.select("source", *FIELDS, "p"))
     return out.select(
         "doc_id", "source", "size", (F.col("copies") + F.round("p").cast("bigint")).alias("copies")
     )
 
 
+def size_of(text: Column) -> Column:
+    """Words of a text; 0 for null."""
+    return F.size(words(text)).cast("bigint")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
         max_epochs=MAX_EPOCHS) -> DataFrame:
     """Copies of every document (``docs``: doc_id, source, text).
@@ -193,7 +202,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
     copies.
     """
     rows = cut_lineage(
-        docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("bigint").alias("size")),
+        docs.select("doc_id", "source", size_of(F.col("text")).alias("size")),
         "sizes",
     )
     units = rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("n"))
@@ -208,11 +217,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
     )
     decided = copies(priced)
     decided = decided.select(*[F.col(c).alias(f"_{c}") for c in UNIT], "copies")
-    cond = F.lit(True)
-    for c in UNIT:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in UNIT]
     return (
-        rows.join(decided, cond)
+        rows.join(decided, same)
         .join(t, F.col("source").eqNullSafe(F.col("_s")))
         .select(*UNIT, "source_size", "target", "copies")
     )
