@@ -178,7 +178,7 @@ def range_window() -> Window:
     return Window.partitionBy("_b").orderBy("_tail", "_key", "text")
 
 
-def compare_with_next(docs: DataFrame) -> DataFrame:
+def compare_with_next(docs: DataFrame, docs_per_bucket: int = DOCS_PER_BUCKET) -> DataFrame:
     """Fingerprints of every text, of its edited text (the second half
     replaced by the start of the next text) and their likeness.
 
@@ -188,7 +188,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     return (
-        with_next(docs)
+        with_next(docs, docs_per_bucket)
         .withColumn("_fp", fingerprint(F.col("text")))
         .withColumn("_next_fp", F.lead("_fp").over(range_window()))
         .where(F.col("_tail") == 0)
