@@ -24,8 +24,11 @@ from panelops.llm import (
     winnowing,
 )
 from panelops.llm.common import read
+from panelops.llm.oracle import ORACLE
 from panelops.session import cut_lineage
 
+__all__ = ["ORACLE", "QUERIES"]
+
 
 @functools.cache
 def tokenizer(name: str) -> str:
@@ -146,5 +149,3 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_reputation": op10_url_reputation,
 }
-
-ORACLE: dict[str, str] = {}

@@ -25,7 +25,7 @@ import re
 
 import numpy as np
 
-MAX_CACHED = 1_200_000  # about 250 MB in a worker
+MAX_CACHED = 2_000_000  # about 450 MB in a worker
 MAX_CHUNK = 64  # longer chunks are encoded each time, not kept
 
 _RUN = re.compile(r"\s\s")

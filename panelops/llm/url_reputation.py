@@ -9,7 +9,9 @@ good pages is shrunk towards its parent with a beta-binomial prior:
     domain:  (good + m_d * suffix) / (n + m_d)
     host:    Beta(good + m_h * domain, bad + m_h * (1 - domain))
 
-The strengths m come from the data (``concentration``). A host is blocked when
+The strengths m come from the data (``concentration``), and no prior is stronger
+than the evidence and prior it was formed from, so a host of an unseen domain
+stays uncertain however alike the hosts of seen domains are. A host is blocked when
 even the upper end of its posterior (mean + z sd) stays below ``min_good``:
 little evidence never blocks.
 
@@ -110,8 +112,12 @@ def concentration(units: DataFrame, prior: str) -> float:
     return min(max(rest / (d - e) - 1, MIN_CONCENTRATION), MAX_CONCENTRATION)
 
 
-def shrink(good: Column, n: Column, prior: Column | float, m: float) -> Column:
-    return (good + F.lit(m) * prior) / (n + F.lit(m))
+def shrunk(units: DataFrame, m: float) -> DataFrame:
+    """Replace ``prior`` and ``strength`` (of the level above) by the unit's
+    own posterior mean and strength."""
+    weight = F.least(F.lit(m), F.col("strength"))
+    mean = (F.col("good") + weight * F.col("prior")) / (F.col("n") + weight)
+    return units.withColumns({"prior": mean, "strength": F.col("n") + weight})
 
 
 def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -127,7 +133,7 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("good").cast("bigint")).alias("good"))
     )
     per_host = cut_lineage(
-        hosts.join(counted, "host", "left").select(
+        hosts.join(counted, "host", "full").select(
             "host",
             domain_of(F.col("host")).alias("domain"),
             suffix_of(F.col("host")).alias("suffix"),
@@ -138,21 +144,21 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     )
     sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
     good, n = per_host.agg(F.sum("good"), F.sum("n")).first()
-    corpus = ((good or 0) + 1) / ((n or 0) + 2)
-
-    good_n = (F.col("good"), F.col("n"))
-    per_suffix = per_host.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(corpus))
-    m_suffix = concentration(per_suffix, "prior")
-    suffixes = per_suffix.select("suffix", shrink(*good_n, F.col("prior"), m_suffix).alias("prior"))
-    per_domain = per_host.groupBy("suffix", "domain").agg(*sums).join(suffixes, "suffix")
-    m_domain = concentration(per_domain, "prior")
-    domains = per_domain.select("domain", shrink(*good_n, F.col("prior"), m_domain).alias("prior"))
-    with_prior = per_host.join(domains, "domain")
-    m_host = concentration(with_prior, "prior")
-    mean = shrink(*good_n, F.col("prior"), m_host)
-    return with_prior.select(
-        "host", "n", "good", mean.alias("mean"),
-        F.sqrt(mean * (1 - mean) / (F.col("n") + F.lit(m_host) + 1)).alias("sd"),
+    corpus = {
+        "prior": F.lit(((good or 0) + 1) / ((n or 0) + 2)), "strength": F.lit(float((n or 0) + 2))
+    }
+
+    suffixes = per_host.groupBy("suffix").agg(*sums).withColumns(corpus)
+    suffixes = shrunk(suffixes, concentration(suffixes, "prior"))
+    domains = per_host.groupBy("suffix", "domain").agg(*sums).join(
+        suffixes.select("suffix", "prior", "strength"), "suffix"
+    )
+    domains = shrunk(domains, concentration(domains, "prior"))
+    found = per_host.join(domains.select("domain", "prior", "strength"), "domain")
+    found = shrunk(found, concentration(found, "prior"))
+    return found.select(
+        "host", "n", "good", F.col("prior").alias("mean"),
+        F.sqrt(F.col("prior") * (1 - F.col("prior")) / (F.col("strength") + 1)).alias("sd"),
     )
 
 
