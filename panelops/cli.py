@@ -1,8 +1,8 @@
 """Command-line entry points, one per pipeline job (for ``spark-submit``).
 
-    spark-submit panelops/cli.py ingest --warehouse W --facilities-csv F --reports-csv R \\
+    spark-submit --py-files panelops.zip panelops/cli.py ingest --warehouse W --facilities-csv F --reports-csv R \\
         --run-id RUN --dag-logical-date 2024-12-31 --now "2025-01-01 00:00:00"
-    ... validate | train-anomaly | train-forecast | register | score | publish
+    ... validate | quality-alert | train-anomaly | train-forecast | register | score | publish
     ... score-entity --facility-id ID | month-board --month 2024-12-01 --out DIR
 
 The logical date and the wall-clock stamp are required arguments; nothing
@@ -60,6 +60,7 @@ def main(argv: list[str] | None = None) -> int:
     add("train-forecast", run, date, now, models, (["--trees"], {"type": int, "default": 150}))
     add("register", run, now, (["--model-name"], {"required": True}))
     add("score", run, date, now)
+    add("quality-alert", (["--report-file"], {"required": True}))
     add("publish", (["--report-file"], {"required": True}), (["--score-file"], {"required": True}),
         (["--out"], {"required": True}))
     add("score-entity", (["--facility-id"], {"required": True}))
@@ -97,6 +98,10 @@ def main(argv: list[str] | None = None) -> int:
                "version": registry.register(wh, args.run_id, args.model_name, args.now)}
     elif args.cmd == "score":
         res = jobs.score(wh, ctx)
+    elif args.cmd == "quality-alert":
+        rep = json.loads(Path(args.report_file).read_text())
+        jobs.quality_alert(rep)
+        res = {"run_id": rep.get("run_id"), "alert": False}
     elif args.cmd == "publish":
         rep = json.loads(Path(args.report_file).read_text())
         summ = json.loads(Path(args.score_file).read_text())

@@ -5,7 +5,8 @@ group with the interpolated q-quantile of the multiset in which ``value``
 occurs ``weight`` times (Spark's ``percentile`` semantics: position
 ``(n - 1) * q``, linear interpolation between the neighbouring ranks).
 
-Two exact strategies, chosen from a checked bound:
+Two exact strategies with the same result to the bit, chosen from a checked
+bound on the group sizes (a choice of plan only):
 
 * every group has at most ``max_group_values`` distinct values: a plain
   ``percentile(value, q, weight)`` aggregate (its buffer holds one entry per
@@ -108,7 +109,8 @@ def distributed_quantile(
         F.max(pos).alias("_pos"),
     ]
     res = picked.groupBy(*groups).agg(*agg) if groups else picked.agg(*agg)
-    frac = F.col("_pos") - F.floor(F.col("_pos"))
-    return res.select(
-        *groups, (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias(out)
-    )
+    # The arithmetic of Spark's ``percentile``, so both strategies agree to the bit.
+    lower, higher = F.floor("_pos"), F.ceil("_pos")
+    between = (higher - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - lower) * F.col("_vhi")
+    same = (lower == higher) | (F.col("_vlo") == F.col("_vhi"))
+    return res.select(*groups, F.when(same, F.col("_vlo")).otherwise(between).alias(out))

@@ -4,9 +4,9 @@ Fit (D1):
   1. every training row gets a uniform hash ``u(key, t)`` per tree id ``t``
      (xxhash64 of the key, the tree id and the seed), so sampling is
      deterministic under any partitioning;
-  2. a pool of about ``trees * oversample * psi`` rows is selected by one hash
-     threshold, and each pool row joins the trees whose own hash falls below a
-     second threshold (``filter`` over the tree-id array, then ``explode``);
+  2. every row joins the trees whose hash of it falls below
+     ``oversample * psi / n`` (``filter`` over the tree-id array, then
+     ``explode``), so any row can enter any tree at every input size;
   3. per tree the ``psi`` rows with the smallest hash are kept (a window over
      groups of about ``oversample * psi`` rows);
   4. ``groupBy(tree_id).applyInPandas`` grows each tree from its <= psi rows:
@@ -19,8 +19,9 @@ goes to the executors as a broadcast; ``mapInPandas`` walks all trees
 vectorised over each Arrow batch. ``s = 2 ** (-E[h] / c(psi))``.
 
 Threshold (D3): the exact (1 - contamination) quantile of the training
-scores (a percentile aggregate up to ``exact_limit`` rows, the distributed
-exact selection of ``functions.quantiles`` above it). Stored with
+scores by the distributed selection of ``functions.quantiles``, over scores
+counted first (equal scores are common and would otherwise meet in one
+task). Stored with
 the model and never recomputed at scoring time; ``anomaly_score = s - thr``
 and ``is_anomaly = s > thr`` (the sign convention of the reference).
 """
@@ -36,8 +37,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelops.functions.quantiles import DEFAULT_MAX_GROUP_VALUES, weighted_quantile
+from panelops.functions.quantiles import weighted_quantile
 from panelops.schemas import CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
+from panelops.session import cut_lineage
 
 EULER_GAMMA = 0.5772156649015329
 _MASK63 = (1 << 63) - 1
@@ -201,26 +203,20 @@ def fit_iforest(
     contamination: float = CONTAMINATION,
     seed: int = SEED,
     oversample: float = 2.0,
-    exact_limit: int = DEFAULT_MAX_GROUP_VALUES,
+    strategy: str = "distributed",
 ) -> IForestModel:
     """D1 + D3: fit on ``df`` (rows = training set) and set the threshold."""
-    from pyspark import StorageLevel
-
     data = df.select(*key_cols, *[F.col(c).cast("double").alias(c) for c in feature_cols])
-    # Read three times below (count, sample, threshold): keep the narrow
-    # training projection; lost blocks are recomputed from lineage.
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read three times below (count, sample, threshold).
+    data = cut_lineage(data, "training")
     n = data.count()
     if n == 0:
         raise ValueError("isolation forest needs at least one training row")
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    per_tree = oversample * psi
-    pool_frac = min(1.0, n_trees * per_tree / n)
-    tree_frac = min(1.0, per_tree / (n * pool_frac))
+    tree_frac = min(1.0, oversample * psi / n)
     tree_ids = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    pool = data.where(_uniform(key_cols, F.lit(-1 - seed)) < F.lit(pool_frac))
-    picked = pool.select(
+    picked = data.select(
         "*",
         F.explode(
             F.filter(
@@ -251,14 +247,10 @@ def fit_iforest(
         n_train=n,
         nodes=node_pdf,
     )
-    scored = score_samples(data, model).select("_s", F.lit(1).alias("_one"))
+    counted = score_samples(data, model).groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))
     q = 1.0 - contamination
-    # Exact at any size: one percentile aggregate up to ``exact_limit``
-    # training rows, the distributed exact selection beyond.
-    strategy = "aggregate" if n <= exact_limit else "distributed"
-    thr = weighted_quantile(scored, [], "_s", "_one", q, "t", strategy=strategy).first()["t"]
+    thr = weighted_quantile(counted, [], "_s", "_n", q, "t", strategy=strategy).first()["t"]
     model.threshold = float(thr)
-    data.unpersist()
     return model
 
 

@@ -1,13 +1,16 @@
 """Run log and model registry as tables.
 
-``training_runs``: one row per training run (params, metrics, features,
-model path). ``model_versions``: one row per promotion; the current model is
+``training_runs``: one row per training (params, metrics, features, details,
+model path); a run that trains again gets a new training id and a new model
+folder, so a registered version never changes. ``model_versions``: one row per promotion; the current model is
 the highest **integer** version of a name (a string comparison would rank
 "9" above "10").
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +21,11 @@ RUNS_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType(), False),
         T.StructField("model_name", T.StringType(), False),
+        T.StructField("training_id", T.IntegerType(), False),
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("features", T.ArrayType(T.StringType())),
+        T.StructField("details", T.StringType()),
         T.StructField("model_path", T.StringType()),
         T.StructField("logged_at", T.TimestampNTZType()),
     ]
@@ -37,23 +42,39 @@ VERSIONS_SCHEMA = T.StructType(
 )
 
 
+def trainings(wh: Warehouse, run_id: str, model_name: str) -> DataFrame:
+    return wh.read(RUNS_TABLE, RUNS_SCHEMA).where(
+        (F.col("run_id") == run_id) & (F.col("model_name") == model_name)
+    )
+
+
+def next_training(wh: Warehouse, run_id: str, model_name: str, model_root: str) -> tuple[int, str]:
+    """(training id, model folder) of the next training of a run."""
+    n = trainings(wh, run_id, model_name).count() + 1
+    return n, f"{model_root}/{model_name}/{run_id}/{n}"
+
+
 def log_run(
     wh: Warehouse,
     run_id: str,
     model_name: str,
+    training_id: int,
     params: dict,
     metrics: dict,
     features: list[str],
     model_path: str,
     logged_at: str,
 ) -> None:
-    """Append one run row."""
+    """Append one row per training. Numbers go to ``metrics``; the whole
+    document, text and nested values included, to ``details`` as JSON."""
     row = (
         run_id,
         model_name,
+        training_id,
         {k: str(v) for k, v in params.items()},
-        {k: float(v) for k, v in metrics.items() if v is not None},
+        {k: float(v) for k, v in metrics.items() if isinstance(v, (int, float))},
         list(features),
+        json.dumps(metrics, default=str, sort_keys=True),
         model_path,
     )
     df = wh.spark.createDataFrame([row], T.StructType(RUNS_SCHEMA.fields[:-1])).withColumn(
@@ -76,13 +97,17 @@ def latest_versions(vers: DataFrame) -> DataFrame:
 
 
 def register(wh: Warehouse, run_id: str, model_name: str, registered_at: str) -> str:
-    """R2: promote a logged run to version max+1 of ``model_name``."""
-    runs = wh.read(RUNS_TABLE, RUNS_SCHEMA).where(
-        (F.col("run_id") == run_id) & (F.col("model_name") == model_name)
-    )
-    run = runs.select("model_path").limit(1).collect()
+    """R2: promote the last training of a run to version max+1 of
+    ``model_name``; a training that has a version keeps it."""
+    runs = trainings(wh, run_id, model_name)
+    run = runs.orderBy(F.desc("training_id")).select("model_path").limit(1).collect()
     if not run:
         raise LookupError(f"no logged run {run_id} for model {model_name}")
+    known = versions(wh).where(
+        (F.col("model_name") == model_name) & (F.col("model_path") == run[0]["model_path"])
+    ).select("version").first()
+    if known:
+        return known["version"]
     cur = (
         versions(wh)
         .where(F.col("model_name") == model_name)
@@ -121,8 +146,8 @@ def promotion_gate(candidate: dict, current: dict | None, metric: str, lower_is_
 
 def run_metrics(wh: Warehouse, run_id: str, model_name: str) -> dict | None:
     row = (
-        wh.read(RUNS_TABLE, RUNS_SCHEMA)
-        .where((F.col("run_id") == run_id) & (F.col("model_name") == model_name))
+        trainings(wh, run_id, model_name)
+        .orderBy(F.desc("training_id"))
         .select("metrics")
         .first()
     )

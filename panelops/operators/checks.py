@@ -11,7 +11,8 @@ Plan shape (one batch):
   never ships raw rows to one reducer; medians are exact (a percentile
   aggregate under a checked bound, the distributed selection of
   ``functions.quantiles`` above it);
-* the roster flag is a size-checked broadcast of the roster ids;
+* the roster flag is a join with the distinct roster ids (AQE broadcasts them
+  when their run-time bytes are small);
 * the robust statistics (one row per entity) are joined back on ``entity``;
 * duplicate keys come from a partial ``groupBy(key).count()`` and only keys
   seen twice are joined back on the full key.
@@ -31,7 +32,6 @@ from panelops.functions.quantiles import (
     choose_strategy,
     weighted_quantile,
 )
-from panelops.functions.sizing import bounded_broadcast, fits
 from panelops.schemas import (
     ENTITY,
     MAD_SCALE,
@@ -43,6 +43,7 @@ from panelops.schemas import (
     REASON_OUTLIER,
     REASON_UNKNOWN,
 )
+from panelops.session import cut_lineage
 
 REASON = "quarantine_reason"
 
@@ -52,12 +53,18 @@ def _false_if_null(c: Column) -> Column:
 
 
 # --- B3 ---------------------------------------------------------------------
+def measure(field: str) -> Column:
+    """A measure as a number; NaN counts as missing (Spark would order it
+    above every number and so flag it)."""
+    return F.nanvl(F.col(field).cast("double"), F.lit(None).cast("double"))
+
+
 def range_violation(field: str, lo, hi) -> Column:
     bad = F.lit(False)
     if lo is not None:
-        bad = bad | (F.col(field) < F.lit(float(lo)))
+        bad = bad | (measure(field) < F.lit(float(lo)))
     if hi is not None:
-        bad = bad | (F.col(field) > F.lit(float(hi)))
+        bad = bad | (measure(field) > F.lit(float(hi)))
     return _false_if_null(bad)
 
 
@@ -75,7 +82,7 @@ def known_entities(roster: DataFrame, entity: str = ENTITY) -> DataFrame:
 
 def check_referential(df: DataFrame, roster: DataFrame, entity: str = ENTITY) -> DataFrame:
     """Adds ``is_known``: True where the entity is on the roster."""
-    known = bounded_broadcast(known_entities(roster, entity))
+    known = known_entities(roster, entity)
     return df.join(known, entity, "left").select(
         *[F.col(c) for c in df.columns], _false_if_null(F.col("_known")).alias("is_known")
     )
@@ -106,7 +113,7 @@ def value_counts_long(df: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value"))
+                    F.struct(F.lit(f).alias("field"), measure(f).alias("value"))
                     for f in fields
                 ]
             )
@@ -135,12 +142,9 @@ def robust_stats_long(
     """
     vc = value_counts_long(df, fields, entity)
     keys = [entity, "field"]
-    # A batch with at most ``max_group_values`` rows cannot hold a bigger
-    # group (bounded count, stops early); otherwise check the group sizes.
-    if fits(df, max_group_values):
-        strategy = "aggregate"
-    else:
-        strategy = choose_strategy(vc, keys, max_group_values)
+    # Read by the size check and by both medians.
+    vc = cut_lineage(vc, "values")
+    strategy = choose_strategy(vc, keys, max_group_values)
     med = weighted_quantile(vc, keys, "value", "cnt", 0.5, "median", strategy=strategy)
     dev = vc.join(med, keys).select(
         *keys, F.abs(F.col("value") - F.col("median")).alias("value"), "cnt"
@@ -166,7 +170,7 @@ def robust_stats_wide(
 
 def robust_outlier(field: str, threshold: float = OUTLIER_Z_THRESHOLD) -> Column:
     mad = F.nullif(F.col(f"mad_{field}"), F.lit(0.0))
-    z = F.abs(F.col(field).cast("double") - F.col(f"med_{field}")) / (mad * F.lit(MAD_SCALE))
+    z = F.abs(measure(field) - F.col(f"med_{field}")) / (mad * F.lit(MAD_SCALE))
     return _false_if_null(z > F.lit(threshold))
 
 
@@ -184,21 +188,6 @@ def check_statistical_outliers(
 
 
 # --- B5 / B6 ------------------------------------------------------------------
-def entity_checks(
-    batch: DataFrame, roster: DataFrame, fields=OUTLIER_FIELDS, entity: str = ENTITY
-) -> DataFrame:
-    """Per entity present in the batch: roster flag plus robust statistics."""
-    stats = robust_stats_wide(batch, fields, entity)
-    present = batch.select(entity).distinct()
-    known = bounded_broadcast(known_entities(roster, entity))
-    return (
-        present.join(stats, entity, "left")
-        .join(known, entity, "left")
-        .withColumn("is_known", _false_if_null(F.col("_known")))
-        .drop("_known")
-    )
-
-
 def classify(
     batch: DataFrame,
     roster: DataFrame,
@@ -215,7 +204,7 @@ def classify(
     statistical outlier.
     """
     stats = robust_stats_wide(batch, fields, entity, max_group_values)
-    known = bounded_broadcast(known_entities(roster, entity))
+    known = known_entities(roster, entity)
     dups = duplicate_keys(batch, (entity, period)).withColumn("_dup", F.lit(True))
     joined = (
         batch.join(known, entity, "left")

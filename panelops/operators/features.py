@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelops.functions.sizing import bounded_broadcast
 from panelops.schemas import (
     ANOMALY_FIELDS,
     ENTITY,
@@ -87,7 +86,7 @@ def forecast_features(
     missing month is skipped over. ``calendar=True`` takes the value of the
     row exactly n months away (NULL if that month is absent).
     """
-    fac = bounded_broadcast(facilities.select(entity, "baseline_patient_volume", "region"))
+    fac = facilities.select(entity, "baseline_patient_volume", "region")
     base = df.join(fac, entity, "inner").withColumn("month_of_year", F.month(period))
     w = _ordered(entity, period)
     if calendar:

@@ -53,7 +53,7 @@ def _set_value(rule: IssueRule, b: Column) -> Column:
     """New value of ``rule.field`` for a row in the rule's bucket range."""
     if rule.issue_type == "outlier_spike":
         return {
-            "patients_tested": (F.col("patients_tested").cast("bigint") * 8).cast("int"),
+            "patients_tested": F.col("patients_tested").cast("bigint") * 8,
             "suppression_pct": F.lit(1.5),
             "drug_stock_level": F.lit(0.0),
         }[rule.field]
@@ -108,7 +108,9 @@ def inject_raw(
     out = base
     for rule in copies:
         dup_cols = {m: F.col(m) for m in measures}
-        dup_cols[rule.field] = (F.col(rule.field) + F.lit(10)).cast("int")
+        dup_cols[rule.field] = (F.col(rule.field) + F.lit(10)).cast(
+            panel.schema[rule.field].dataType
+        )
         out = out.unionByName(
             t.where(_in(rule, b)).select(
                 F.col(ENTITY), F.col(PERIOD), *[dup_cols[m].alias(m) for m in measures]

@@ -13,7 +13,7 @@ key, so the stored table and the change set are each shuffled once:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelops.schemas import KEY
@@ -70,8 +70,13 @@ def merge(
     c = change_set.select(
         *keys, *[F.col(x).alias(f"_c_{x}") for x in cols if x in change_set.columns], OP
     )
+    # Two changes for one key would write it twice; the check shares the join's
+    # partitioning by key.
+    c = c.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     j = t.join(c, keys, "full_outer")
-    op = F.col(OP)
+    op = F.when(
+        F.col("_n") > 1, F.raise_error(F.lit("duplicate key in the change set")).cast("string")
+    ).otherwise(F.col(OP))
     has_t = F.coalesce(F.col("_t"), F.lit(False))
     if retract_scope == "any_run" or "run_id" not in cols:
         drop_it = op == "retract"
@@ -136,8 +141,3 @@ def cascade_retraction(scored: DataFrame, clean: DataFrame, keys=KEY) -> DataFra
     """Scored rows whose key is no longer in the clean table are removed
     (the reference would abort on its foreign key instead)."""
     return scored.join(clean.select(*keys), list(keys), "left_semi")
-
-
-def duplicate_incoming_keys(df: DataFrame, keys=KEY) -> DataFrame:
-    """Keys appearing more than once in a change set (must be empty)."""
-    return df.groupBy(*keys).count().where(F.col("count") > 1).select(*keys)

@@ -40,6 +40,7 @@ from panelops.schemas import (
     Z_REASON_THRESHOLD,
 )
 from panelops.session import cut_lineage, lineage_scope
+from panelops.sources import files
 from panelops.sources import tables as tb
 
 RAW_COLUMNS = [f.name for f in tb.RAW_REPORT.fields]
@@ -94,6 +95,14 @@ def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run")
     roster = wh.read(tb.FACILITIES_TABLE, FACILITIES)
     classified = cut_lineage(checks.classify(batch, roster))
     clean_rows, quarantined = checks.split(classified, RAW_COLUMNS)
+    # Structural constraints of the stored table: nothing is written if one
+    # does not hold for the rows to be stored.
+    broken = checks.constraint_violations(clean_rows, roster).where("violations > 0").collect()
+    if broken:
+        raise ValueError(
+            "rows to be stored break constraints: "
+            + ", ".join(f"{r['rule']} ({r['violations']})" for r in broken)
+        )
 
     touched = classified.select(PERIOD).distinct()
     # The batch's months as a literal list (bounded by the calendar span, a
@@ -122,11 +131,12 @@ def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run")
     wh.replace_partition(tb.QUARANTINE_TABLE, q.select(*tb.SCHEMAS[tb.QUARANTINE_TABLE].names),
                          ctx.run_id)
 
-    gaps = checks.completeness_gaps(batch, roster)
-    rep = report.validation_report(classified, gaps, ctx.run_id, ctx.dag_logical_date)
-    row = rep.first().asDict(recursive=True)
-    wh.append_small(tb.REPORTS_TABLE, rep)
-    return row
+    gaps = cut_lineage(checks.completeness_gaps(batch, roster), "gaps")
+    rep = cut_lineage(
+        report.validation_report(classified, gaps, ctx.run_id, ctx.dag_logical_date), "report"
+    )
+    wh.replace_partition(tb.REPORTS_TABLE, rep, ctx.run_id)
+    return rep.first().asDict(recursive=True)
 
 
 def quality_alert(report_row: dict) -> None:
@@ -138,6 +148,15 @@ def quality_alert(report_row: dict) -> None:
         )
 
 
+def _document(wh: tb.Warehouse, values: dict) -> DataFrame:
+    """One row with the values as JSON, for the JSON sink."""
+    import json
+
+    return wh.spark.createDataFrame(
+        [(json.dumps(values, default=str, sort_keys=True),)], "evaluation string"
+    )
+
+
 # --- train ------------------------------------------------------------------------
 @_scoped
 def train_anomaly(
@@ -150,13 +169,14 @@ def train_anomaly(
     """Fit on rows with enough history, score them, evaluate against
     the ledger when given, log the run (R1)."""
     clean = wh.read(tb.CLEAN_TABLE)
-    feats = features.anomaly_features(clean)
+    feats = cut_lineage(features.anomaly_features(clean), "features")
     train = features.with_enough_history(feats)
     z = [f"z_{f}" for f in ANOMALY_FIELDS]
     model = iforest.fit_iforest(train, z, KEY, n_trees=n_trees)
-    path = f"{model_root}/{ANOMALY_MODEL_NAME}/{ctx.run_id}"
+    training_id, path = registry.next_training(wh, ctx.run_id, ANOMALY_MODEL_NAME, model_root)
     iforest.save(model, wh.spark, path)
-    scored = iforest.decision(train.select(*KEY, *z), model)
+    scored = cut_lineage(iforest.decision(train.select(*KEY, *z), model), "scored")
+    files.write_csv(scored, f"{path}/scored_rows")
     metrics = scored.agg(
         F.count_if("is_anomaly").alias("n_flagged"), F.count(F.lit(1)).alias("n_rows_scored")
     ).first().asDict()
@@ -164,8 +184,9 @@ def train_anomaly(
     if ledger is not None:
         metrics.update(evaluate.evaluate_against_ground_truth(scored, ledger).first().asDict())
     example = input_example(train, KEY, z).toJSON().collect()  # K9: 5 rows
+    files.write_json(_document(wh, metrics), f"{path}/evaluation")
     registry.log_run(
-        wh, ctx.run_id, ANOMALY_MODEL_NAME,
+        wh, ctx.run_id, ANOMALY_MODEL_NAME, training_id,
         {"model_type": "IsolationForest", "contamination": CONTAMINATION,
          "n_estimators": n_trees, "random_state": SEED, "z_reason_threshold": Z_REASON_THRESHOLD,
          "input_example": "[" + ",".join(example) + "]"},
@@ -185,25 +206,31 @@ def train_forecast(
     ds = cut_lineage(features.forecast_dataset(clean, roster, require_target=True))
     train, test = features.time_split(ds)
     model = fc.fit_forecaster(train, features.TARGET_COL, max_iter=max_iter)
-    path = f"{model_root}/{FORECAST_MODEL_NAME}/{ctx.run_id}"
+    training_id, path = registry.next_training(wh, ctx.run_id, FORECAST_MODEL_NAME, model_root)
     fc.save(model, wh.spark, path)
-    pred = fc.predict(test, model)
+    pred = cut_lineage(fc.predict(test, model), "predictions")
+    files.write_csv(
+        pred.select(*KEY, features.TARGET_COL, "prediction", "suppression_pct"),
+        f"{path}/predictions",
+    )
     m = evaluate.forecast_metrics(pred, features.TARGET_COL, "prediction", "suppression_pct")
     metrics = m.first().asDict()
     metrics["train_rows"] = train.count()
     nodes = fc.tree_nodes(model, wh.spark, path)
     explained = treeshap.explain(pred, nodes, model.feature_cols, model.label_mean)
-    top = treeshap.top_features(treeshap.mean_abs_shap(explained, model.feature_cols), TOP_FEATURES)
+    importance = cut_lineage(treeshap.mean_abs_shap(explained, model.feature_cols), "importance")
+    files.write_csv(importance, f"{path}/importance")
+    top = treeshap.top_features(importance, TOP_FEATURES)
     metrics["top_features_by_shap"] = {r["feature"]: r["mean_abs_shap"] for r in top.collect()}
     metrics["test_month_cutoff"] = str(ds.select(features.cutoff_month(ds)).first()[0])
     example = input_example(test, KEY, list(FORECAST_FEATURES)).toJSON().collect()  # K9
+    files.write_json(_document(wh, metrics), f"{path}/evaluation")
     registry.log_run(
-        wh, ctx.run_id, FORECAST_MODEL_NAME,
+        wh, ctx.run_id, FORECAST_MODEL_NAME, training_id,
         {"model_type": "GBTRegressor", "n_estimators": max_iter, "max_depth": GBT_DEPTH,
          "step_size": GBT_STEP, "random_state": SEED, "horizon_months": 3, "test_months_held_out": 4,
          "input_example": "[" + ",".join(example) + "]"},
-        {k: v for k, v in metrics.items() if isinstance(v, (int, float))},
-        list(FORECAST_FEATURES), path, ctx.now,
+        metrics, list(FORECAST_FEATURES), path, ctx.now,
     )
     return metrics
 
@@ -228,8 +255,11 @@ def score(wh: tb.Warehouse, ctx: RunContext) -> dict:
                               ts_col="scored_at")
     scored = cut_lineage(scored)
     stored = wh.read(tb.SCORED_TABLE)
-    merged = up.upsert(stored, scored, preserve=("scored_at",))
-    wh.overwrite_touched(tb.SCORED_TABLE, cut_lineage(merged), scored.select(PERIOD).distinct())
+    touched = scored.select(PERIOD).distinct()
+    # As in validate: only the months that are scored are read and rewritten.
+    months = [r[0] for r in touched.collect()]
+    merged = up.upsert(stored.where(F.col(PERIOD).isin(months)), scored, preserve=("scored_at",))
+    wh.overwrite_touched(tb.SCORED_TABLE, cut_lineage(merged), touched)
     s = scored.agg(
         F.count(F.lit(1)).alias("rows_scored"),
         F.count_if("is_anomaly").alias("n_flagged_anomaly"),
@@ -244,7 +274,7 @@ def publish(wh: tb.Warehouse, report_row: dict, summary: dict, out_path: str) ->
     """One document with the validation report and the scoring summary."""
     import json
 
-    doc = {"pipeline_run_id": report_row.get("run_id"), "validation": report_row,
+    doc = {"run_id": report_row.get("run_id"), "validation": report_row,
            "scoring": summary}
     df = wh.spark.createDataFrame([(json.dumps(doc, default=str),)], "document string")
     df.coalesce(1).write.mode("overwrite").text(out_path)
@@ -261,7 +291,8 @@ def monthly_run(
     gbt_iter: int = GBT_TREES,
     iforest_trees: int = IFOREST_TREES,
 ) -> dict:
-    """The whole DAG in order; the alert is reported, not blocking."""
+    """The whole DAG in order, published as one document below the warehouse
+    root. The quality alert is reported there and does not block the run."""
     ingest(wh, facilities, raw, ctx, "raw.parquet")
     rep = validate(wh, ctx)
     a = train_anomaly(wh, ctx, model_root, ledger, iforest_trees)
@@ -269,4 +300,11 @@ def monthly_run(
     va = registry.register(wh, ctx.run_id, ANOMALY_MODEL_NAME, ctx.now)
     vf = registry.register(wh, ctx.run_id, FORECAST_MODEL_NAME, ctx.now)
     s = score(wh, ctx)
-    return {"report": rep, "anomaly": a, "forecast": f, "versions": (va, vf), "score": s}
+    try:
+        quality_alert(rep)
+        alert = None
+    except RuntimeError as e:
+        alert = str(e)
+    publish(wh, rep, {**s, "alert": alert}, wh.path(f"published/{ctx.run_id}"))
+    return {"report": rep, "anomaly": a, "forecast": f, "versions": (va, vf), "score": s,
+            "alert": alert}

@@ -21,7 +21,7 @@ BASE_CTES = {
   FROM lineitem GROUP BY 1, 2""",
     "panel": """
   SELECT suppkey, 'S-' || CAST(suppkey AS VARCHAR) AS facility_id, report_month,
-         CAST(qty AS INTEGER) AS patients_tested,
+         CAST(qty AS BIGINT) AS patients_tested,
          round(CAST(100 AS DOUBLE) * n_kept / n_lines, 4) AS suppression_pct,
          round(CAST(100 AS DOUBLE) - CAST(10 AS DOUBLE) * disc_pct_sum / n_lines, 4)
            AS drug_stock_level,
@@ -48,7 +48,7 @@ BASE_CTES = {
   SELECT facility_id, report_month,
          CAST(CASE WHEN b BETWEEN 50 AND 59 THEN patients_tested * 8
                    WHEN b BETWEEN 90 AND 94 THEN -patients_tested
-                   ELSE patients_tested END AS INTEGER) AS patients_tested,
+                   ELSE patients_tested END AS BIGINT) AS patients_tested,
          CAST(CASE WHEN b BETWEEN 60 AND 64 THEN 1.5
                    WHEN b BETWEEN 95 AND 97 THEN 150
                    ELSE suppression_pct END AS DOUBLE) AS suppression_pct,
@@ -58,7 +58,7 @@ BASE_CTES = {
               AS INTEGER) AS reporting_delay_days
   FROM tagged WHERE b NOT BETWEEN 0 AND 29
   UNION ALL
-  SELECT facility_id, report_month, CAST(patients_tested + 10 AS INTEGER),
+  SELECT facility_id, report_month, CAST(patients_tested + 10 AS BIGINT),
          suppression_pct, drug_stock_level, reporting_delay_days
   FROM tagged WHERE b BETWEEN 30 AND 49""",
     "ledger": """

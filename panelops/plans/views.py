@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelops.functions.reasons import reasons_to_sentence
-from panelops.functions.sizing import bounded_broadcast
 from panelops.schemas import ENTITY, KEY, PERIOD
 
 DISPLAY_COLUMNS = {
@@ -39,7 +38,7 @@ def month_board(
     c = clean.where(F.col(PERIOD) == m).select(
         *KEY, "patients_tested", "suppression_pct", "drug_stock_level", "reporting_delay_days"
     )
-    fac = bounded_broadcast(facilities.select(ENTITY, "facility_name", "region"))
+    fac = facilities.select(ENTITY, "facility_name", "region")
     return (
         s.join(fac, ENTITY, "inner")
         .join(c, KEY, "inner")

@@ -87,7 +87,7 @@ RAW_REPORT = T.StructType(
     [
         T.StructField(ENTITY, T.StringType(), False),
         T.StructField(PERIOD, T.DateType(), False),
-        T.StructField("patients_tested", T.IntegerType(), True),
+        T.StructField("patients_tested", T.LongType(), True),
         T.StructField("suppression_pct", T.DoubleType(), True),
         T.StructField("drug_stock_level", T.DoubleType(), True),
         T.StructField("reporting_delay_days", T.IntegerType(), True),

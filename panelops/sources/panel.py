@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelops.functions.sizing import bounded_broadcast
 from panelops.schemas import ENTITY, PERIOD
 
 
@@ -57,7 +56,7 @@ def panel_from_supplier_months(sm: DataFrame) -> DataFrame:
         F.col("suppkey"),
         entity_id(F.col("suppkey")).alias(ENTITY),
         F.col(PERIOD),
-        F.col("qty").cast("int").alias("patients_tested"),
+        F.col("qty").cast("bigint").alias("patients_tested"),
         F.round(F.lit(100.0) * F.col("n_kept") / n, 4).alias("suppression_pct"),
         F.round(F.lit(100.0) - F.lit(10.0) * F.col("disc_pct_sum") / n, 4).alias(
             "drug_stock_level"
@@ -79,10 +78,10 @@ def facilities(supplier: DataFrame, nation: DataFrame, region: DataFrame, lineit
 def facilities_from_months(supplier, nation, region, sm: DataFrame) -> DataFrame:
     """Roster from an already computed (suppkey, month) aggregate."""
     first_ship = sm.groupBy("suppkey").agg(F.min("first_ship").alias("opened_date"))
-    dims = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey)
+    dims = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return (
         supplier.where(F.col("s_acctbal") >= 0)
-        .join(bounded_broadcast(dims), supplier.s_nationkey == dims.n_nationkey)
+        .join(dims, supplier.s_nationkey == dims.n_nationkey)
         .join(first_ship, supplier.s_suppkey == first_ship.suppkey, "left")
         .select(
             entity_id(F.col("s_suppkey")).alias(ENTITY),

@@ -1,58 +1,67 @@
-import numpy as np
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import batch, monthly
+from conftest import frame, history
 from panelops.operators import features as feat
 
+SHARE = "suppression_pct"
+
 
-def _fac(spark, ids=("CL-001",)):
+def _fac(spark, ids=("H-01",)):
     return spark.createDataFrame([(i, 100, "North") for i in ids],
                                  "facility_id string, baseline_patient_volume int, region string")
 
 
-def test_zscore_matches_manual_sample_std(spark):
-    vals = [80.0, 82.0, 78.0, 95.0]
-    f = feat.anomaly_features(batch(spark, monthly(4, suppression=vals)))
-    last = f.orderBy(F.desc("report_month")).first().z_suppression_pct
-    assert last == pytest.approx((95.0 - np.mean(vals)) / np.std(vals, ddof=1), abs=1e-9)
+def _share(spark, values, site="H-01"):
+    return frame(spark, history(site, SHARE, values))
 
 
-def test_zero_std_gives_zero(spark):
-    f = feat.anomaly_features(batch(spark, monthly(3, suppression=[80.0] * 3)))
-    assert {r.z_suppression_pct for r in f.collect()} == {0.0}
+def test_z_of_every_row_is_its_sample_score(spark):
+    series = {"H-01": [61.0, 64.5, 70.25, 58.0, 66.0], "H-02": [90.0, 40.0]}
+    df = frame(spark, [e for site, v in series.items() for e in history(site, SHARE, v)])
+    got = {(r.facility_id, r.suppression_pct): r.z_suppression_pct
+           for r in feat.anomaly_features(df).collect()}
+    for site, values in series.items():
+        mean, sd = statistics.mean(values), statistics.stdev(values)
+        for v in values:
+            assert got[site, v] == pytest.approx((v - mean) / sd, abs=1e-9)
 
 
-def test_insufficient_history(spark):
-    rows = monthly(1, "CL-NEW", [99.9]) + monthly(6, "CL-001")
-    f = feat.anomaly_features(batch(spark, rows))
-    flags = {(r.facility_id, r.insufficient_history) for r in f.collect()}
-    assert ("CL-NEW", True) in flags and ("CL-001", True) not in flags
-    assert feat.with_enough_history(f).where("facility_id = 'CL-NEW'").count() == 0
+def test_constant_and_short_series(spark):
+    df = frame(spark, history("H-01", SHARE, [55.5] * 7) + history("H-02", SHARE, [12.0]))
+    out = feat.anomaly_features(df)
+    assert {r.z_suppression_pct for r in out.where("facility_id = 'H-01'").collect()} == {0.0}
+    enough = feat.with_enough_history(out)
+    assert {r.facility_id for r in enough.collect()} == {"H-01"}
+    assert out.where("insufficient_history").select("facility_id").distinct().count() == 1
 
 
-def test_require_target_false_keeps_recent_rows(spark):
-    df = batch(spark, monthly(6))
-    with_t = feat.forecast_dataset(df, _fac(spark), require_target=True)
-    without = feat.forecast_dataset(df, _fac(spark), require_target=False)
-    assert without.count() > with_t.count()
-    assert without.where(F.col(feat.TARGET_COL).isNull()).count() > 0
-    assert with_t.where(F.col(feat.TARGET_COL).isNull()).count() == 0
+def test_rows_without_a_target_are_optional(spark):
+    df = _share(spark, [30.0, 31.0, 35.0, 36.0, 40.0, 44.0, 47.0])
+    known = feat.forecast_dataset(df, _fac(spark), require_target=True)
+    every = feat.forecast_dataset(df, _fac(spark), require_target=False)
+    open_rows = every.where(F.col(feat.TARGET_COL).isNull())
+    assert open_rows.count() == 3 and every.count() == known.count() + 3
+    assert {str(r.report_month) for r in open_rows.collect()} == {
+        "2019-03-01", "2019-04-01", "2019-05-01"}
 
 
-def test_lags_point_backward(spark):
-    df = batch(spark, monthly(6, suppression=[10.0, 20.0, 30.0, 40.0, 50.0, 60.0]))
-    ds = feat.forecast_dataset(df, _fac(spark), require_target=False)
-    april = ds.where("report_month = date'2024-04-01'").first()
-    assert (april.suppression_pct, april.suppression_pct_lag_1, april.suppression_pct_lag_2,
-            april.suppression_pct_lag_3) == (40.0, 30.0, 20.0, 10.0)
-    assert april.suppression_pct_roll3_mean == pytest.approx(20.0)
+def test_lags_and_trailing_mean(spark):
+    values = [11.0, 7.0, 13.0, 2.0, 29.0, 17.0]
+    rows = feat.forecast_dataset(_share(spark, values), _fac(spark), require_target=False).orderBy(
+        "report_month").collect()
+    for r in rows:
+        k = values.index(r.suppression_pct)
+        assert [r.suppression_pct_lag_1, r.suppression_pct_lag_2, r.suppression_pct_lag_3] == [
+            values[k - 1], values[k - 2], values[k - 3]]
+        assert r.suppression_pct_roll3_mean == pytest.approx(statistics.mean(values[k - 3 : k]))
 
 
 def test_row_based_and_calendar_lags_differ_on_a_gap(spark):
-    rows = [r for r in monthly(7, suppression=[10.0, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0])
-            if str(r["report_month"]) != "2024-03-01"]
-    df = batch(spark, rows)
+    df = frame(spark, history("H-01", SHARE, [10.0, 20.0, None, 40.0, 50.0, 60.0, 70.0],
+                              start=(2024, 1)))
     rb = feat.forecast_features(df, _fac(spark)).where("report_month = date'2024-04-01'").first()
     cal = feat.forecast_features(df, _fac(spark), calendar=True).where(
         "report_month = date'2024-04-01'").first()
@@ -61,19 +70,19 @@ def test_row_based_and_calendar_lags_differ_on_a_gap(spark):
 
 
 def test_time_split_cutoff_and_error(spark):
-    df = batch(spark, monthly(12))
+    df = _share(spark, [50.0 + k for k in range(12)])
     ds = feat.forecast_dataset(df, _fac(spark))
     train, test = feat.time_split(ds)
     months = sorted({r.report_month for r in ds.collect()})
     assert {r.report_month for r in test.collect()} == set(months[-4:])
     assert {r.report_month for r in train.collect()} == set(months[:-4])
-    few = feat.forecast_dataset(batch(spark, monthly(8)), _fac(spark))
+    few = feat.forecast_dataset(_share(spark, [50.0 + k for k in range(8)]), _fac(spark))
     with pytest.raises(Exception, match="at least 4"):
         feat.time_split(few)[0].count()
 
 
 def test_naive_mae(spark):
-    df = batch(spark, monthly(10, suppression=[float(v) for v in range(10, 110, 10)]))
+    df = _share(spark, [float(v) for v in range(10, 110, 10)])
     ds = feat.forecast_dataset(df, _fac(spark))
     _, test = feat.time_split(ds)
     assert feat.naive_mae(test).first()[0] == pytest.approx(30.0)

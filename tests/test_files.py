@@ -1,17 +1,17 @@
 import tempfile
 
-from conftest import batch, row
+from conftest import entry, frame
 from panelops.functions.reasons import build_reasons
 from panelops.sources import files
 
 
 def test_csv_roundtrip_reports_and_ledger(spark):
     d = tempfile.mkdtemp(dir="/tmp")
-    df = batch(spark, [row(), row("CL-002", "2024-02-01", suppression_pct=None)])
+    df = frame(spark, [entry(), entry("H-02", "2024-02-01", suppression_pct=None)])
     files.write_csv(df, f"{d}/raw")
     back = files.read_reports_csv(spark, f"{d}/raw")
     assert sorted(back.collect()) == sorted(df.collect())
-    led = spark.createDataFrame([("CL-001", row()["report_month"], "outlier_spike", True, "field=x")],
+    led = spark.createDataFrame([("H-01", entry()[1], "outlier_spike", True, "field=x")],
                                 files.LEDGER)
     files.write_csv(led, f"{d}/led")
     assert files.read_ledger_csv(spark, f"{d}/led").collect() == led.collect()

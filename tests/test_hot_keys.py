@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from conftest import roster
+from conftest import sites
 from panelops.operators import checks
 from panelops.schemas import RAW_REPORT
 
@@ -30,7 +30,7 @@ def _skewed_batch(spark, n=6000):
 
 def test_hot_entity_same_result_with_distributed_medians(spark):
     b = _skewed_batch(spark)
-    r = roster(spark, ["HOT"] + [f"E{k:02d}" for k in range(50)])
+    r = sites(spark, ["HOT"] + [f"E{k:02d}" for k in range(50)])
     fast = sorted(checks.classify(b, r).collect())
     split = sorted(checks.classify(b, r, max_group_values=0).collect())
     assert fast == split

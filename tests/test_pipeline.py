@@ -1,3 +1,4 @@
+import json
 import tempfile
 
 from pyspark.sql import functions as F
@@ -34,8 +35,20 @@ def test_monthly_run_end_to_end_and_rerun(spark):
     assert sorted(wh.read(tb.SCORED_TABLE).drop("scored_at").collect()) == scored_before
     assert wh.read(tb.SCORED_TABLE).agg(F.max("scored_at")).first()[0] == first_stamp
 
-    # A second registration moves the current version to 2.
+    # Registering the same training again changes nothing; training again makes version 2.
+    assert registry.register(wh, "run-1", ANOMALY_MODEL_NAME, "2002-03-01 00:00:00") == "1"
+    jobs.train_anomaly(wh, ctx2, f"{root}/models", n_trees=10)
     assert registry.register(wh, "run-1", ANOMALY_MODEL_NAME, "2002-03-01 00:00:00") == "2"
+    assert len({v["model_path"] for v in registry.versions(wh).collect()}) == 3
+    # The re-run replaced its report; the run's document and artifacts are there.
+    assert wh.read(tb.REPORTS_TABLE).where("run_id = 'run-1'").count() == 1
+    doc = json.loads(spark.read.text(wh.path("published/run-1")).first().value)
+    assert doc["run_id"] == "run-1" and doc["scoring"]["rows_scored"] == out["score"]["rows_scored"]
+    for name, parts in ((ANOMALY_MODEL_NAME, ["scored_rows"]),
+                        (FORECAST_MODEL_NAME, ["predictions", "importance"])):
+        for part in parts:
+            assert spark.read.option("header", True).csv(f"{root}/models/{name}/run-1/1/{part}").count()
+        assert spark.read.json(f"{root}/models/{name}/run-1/1/evaluation").count() == 1
 
     # Month board and KPIs for the latest month.
     month = views.available_months(wh.read(tb.SCORED_TABLE)).first()[0]
@@ -80,7 +93,7 @@ def test_publish_writes_one_document(spark):
     jobs.publish(wh, {"run_id": "r1", "batch_size": 3}, {"rows_scored": 2}, f"{root}/summary")
     text = spark.read.text(f"{root}/summary").collect()
     doc = json.loads(text[0].value)
-    assert doc["pipeline_run_id"] == "r1" and doc["scoring"]["rows_scored"] == 2
+    assert doc["run_id"] == "r1" and doc["scoring"]["rows_scored"] == 2
 
 
 def test_lineage_scope_deletes_its_cuts(spark):
@@ -93,3 +106,62 @@ def test_lineage_scope_deletes_its_cuts(spark):
         path = df.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
         assert df.count() == 10 and os.path.exists(path)
     assert not os.path.exists(path)
+
+
+def test_scopes_of_two_threads_are_apart(spark):
+    import threading
+
+    from panelops.session import cut_lineage, lineage_scope
+
+    made, go_on = threading.Event(), threading.Event()
+    got = []
+
+    def other():
+        with lineage_scope(spark):
+            df = cut_lineage(spark.range(7), "other")
+            made.set()
+            go_on.wait(60)
+            got.append(df.count())
+
+    t = threading.Thread(target=other)
+    t.start()
+    with lineage_scope(spark):
+        assert made.wait(60)
+        cut_lineage(spark.range(3), "mine")
+    go_on.set()
+    t.join()
+    assert got == [7]
+
+
+def test_a_month_gets_few_files_and_bad_rows_are_refused(spark):
+    import glob
+
+    from conftest import entry, frame, history
+    import pytest
+
+    from panelops.operators import upsert as up
+    from panelops.schemas import FACILITIES
+
+    wh = tb.Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    rows = [e for k in range(40) for e in history(f"H-{k}", "patients_tested", [3_000_000_000 + k] * 12)]
+    df = up.stamp_lineage(frame(spark, rows), "r", "2024-01-31", ingested_at="2024-01-01 00:00:00")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        wh.overwrite_touched(tb.CLEAN_TABLE, df.repartition(64), df.select("report_month"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = glob.glob(f"{wh.path(tb.CLEAN_TABLE)}/report_month=*/*.parquet")
+    assert len(files) <= 12 * tb.FILES_PER_VALUE and wh.read(tb.CLEAN_TABLE).count() == len(rows)
+
+    one = df.limit(1)
+    with pytest.raises(Exception, match="duplicate key"):
+        up.upsert(df.limit(0), one.unionByName(one)).collect()
+
+    fac = spark.createDataFrame([("H-01", "n", "North", "public", 1, None)], FACILITIES)
+    ctx = jobs.RunContext("r", "2024-06-30", "2024-07-01 00:00:00")
+    jobs.ingest(wh, fac, frame(spark, [entry(), entry(month="2019-04-01", suppression_pct=None)]),
+                ctx, "r.csv")
+    with pytest.raises(ValueError, match="not_null_suppression_pct"):
+        jobs.validate(wh, ctx)

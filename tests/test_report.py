@@ -1,12 +1,12 @@
-from conftest import batch, roster, row
+from conftest import entry, frame, sites
 from panelops.operators import checks, report
 
 
 def _report(spark, n_rows, n_bad):
-    rows = [row(report_month=f"2024-{k + 1:02d}-01") for k in range(n_rows - n_bad)]
-    rows += [row(report_month=f"2023-{k + 1:02d}-01", suppression_pct=-1.0) for k in range(n_bad)]
-    b = batch(spark, rows)
-    r = roster(spark, ["CL-001"])
+    rows = [entry(month=f"2024-{k + 1:02d}-01") for k in range(n_rows - n_bad)]
+    rows += [entry(month=f"2023-{k + 1:02d}-01", suppression_pct=-1.0) for k in range(n_bad)]
+    b = frame(spark, rows)
+    r = sites(spark, ["H-01"])
     c = checks.classify(b, r)
     return report.validation_report(c, checks.completeness_gaps(b, r), "run", "2024-12-31")
 
@@ -28,12 +28,12 @@ def test_rate_above_limit_alerts(spark):
 
 
 def test_gap_sample_is_first_20_by_key(spark):
-    rows = [row("CL-001", f"2024-{k + 1:02d}-01") for k in range(12)]
-    rows += [row("CL-002", "2024-01-01")]
-    b = batch(spark, rows)
-    r = roster(spark, ["CL-001", "CL-002", "CL-003"])
+    rows = [entry("H-01", f"2024-{k + 1:02d}-01") for k in range(12)]
+    rows += [entry("H-02", "2024-01-01")]
+    b = frame(spark, rows)
+    r = sites(spark, ["H-01", "H-02", "H-03"])
     c = checks.classify(b, r)
     rep = report.validation_report(c, checks.completeness_gaps(b, r), "run", "2024-12-31").first()
     assert rep.completeness_gap_count == 11 + 12
     sample = [(g.facility_id, g.report_month) for g in rep.completeness_gaps_sample]
-    assert len(sample) == 20 and sample == sorted(sample) and sample[0] == ("CL-002", "2024-02-01")
+    assert len(sample) == 20 and sample == sorted(sample) and sample[0] == ("H-02", "2024-02-01")

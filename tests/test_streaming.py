@@ -1,7 +1,7 @@
 import datetime as dt
 import tempfile
 
-from conftest import batch, row
+from conftest import entry, frame
 from panelops.schemas import FACILITIES
 from panelops.sources import tables as tb
 from panelops.streaming.landing import start_landing
@@ -10,14 +10,14 @@ from panelops.streaming.landing import start_landing
 def test_each_micro_batch_is_a_validated_run(spark):
     root = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
     wh = tb.Warehouse(spark, f"{root}/wh")
-    fac = spark.createDataFrame([("CL-001", "n", "North", "public", 100, dt.date(2020, 1, 1))],
+    fac = spark.createDataFrame([("H-01", "n", "North", "public", 100, dt.date(2020, 1, 1))],
                                 FACILITIES)
     wh.replace_small(tb.FACILITIES_TABLE, fac)
     src = f"{root}/in"
-    batch(spark, [row(report_month=f"2024-{m:02d}-01") for m in range(1, 4)]).coalesce(1) \
+    frame(spark, [entry(month=f"2024-{m:02d}-01") for m in range(1, 4)]).coalesce(1) \
         .write.mode("append").parquet(src)
-    batch(spark, [row(report_month="2024-04-01"), row(report_month="2024-04-01", patients_tested=7),
-                  row("CL-999", "2024-05-01")]).coalesce(1).write.mode("append").parquet(src)
+    frame(spark, [entry(month="2024-04-01"), entry(month="2024-04-01", patients_tested=7),
+                  entry("H-99", "2024-05-01")]).coalesce(1).write.mode("append").parquet(src)
     reports = []
     q = start_landing(spark, src, wh, "2024-12-31", run_prefix="s",
                       checkpoint_location=f"{root}/ckpt", clock=lambda: "2025-01-01 00:00:00",
