@@ -109,3 +109,31 @@ def live_forecast_mae(
     scale = 10 ** (6 - input_decimals)
     micro = F.expr(f"(_units * {2 * scale} + n_matched) div (n_matched * 2)")
     return out.select("origin_month", "n_matched", (micro / F.lit(1e6)).alias("live_mae"))
+
+
+def live_mae_against_baseline(
+    forecasts: DataFrame,
+    actuals: DataFrame,
+    forecast_col: str,
+    value_col: str,
+    horizon_months: int = 3,
+    entity: str = ENTITY,
+    period: str = PERIOD,
+) -> DataFrame:
+    """X3 with its comparison: per origin month the MAE of the forecast and of
+    carrying the origin's own value forward, over the same matched rows, and
+    an ``alert`` where the forecast is worse."""
+    f = forecasts.where(F.col(forecast_col).isNotNull()).select(
+        entity,
+        F.col(period).alias("origin_month"),
+        F.add_months(F.col(period), horizon_months).alias(period),
+        F.col(forecast_col).alias("_f"),
+        F.col(value_col).alias("_v"),
+    )
+    a = actuals.select(entity, period, F.col(value_col).alias("_a"))
+    mae = f.join(a, [entity, period]).groupBy("origin_month").agg(
+        F.count(F.lit(1)).alias("n_matched"),
+        F.round(F.avg(F.abs(F.col("_a") - F.col("_f"))), 9).alias("live_mae"),
+        F.round(F.avg(F.abs(F.col("_a") - F.col("_v"))), 9).alias("baseline_mae"),
+    )
+    return mae.select("*", (F.col("live_mae") > F.col("baseline_mae")).alias("alert"))

@@ -70,6 +70,7 @@ def score_entity(
     filter-first gives the same values as scoring everything.
     """
     rows = clean.where(F.col(entity) == F.lit(entity_id))
+    facilities = facilities.where(F.col(entity) == F.lit(entity_id))
     f = feat.anomaly_features(rows)
     latest = f.groupBy(entity).agg(F.max(PERIOD).alias(PERIOD))
     base = f.join(latest, [entity, PERIOD], "left_semi")
@@ -92,12 +93,12 @@ def score_entity(
         F.lit(anomaly_version).alias("model_version_anomaly"),
         F.lit(forecast_version).alias("model_version_forecast"),
     )
-    # Exactly one row: the scored one, or a not_found marker.
-    marker = one.sparkSession.range(1).select(
-        F.lit(entity_id).alias("entity_id"),
-        F.lit(None).cast("date").alias(PERIOD),
-        F.lit("not_found").alias("status"),
-    )
-    return one.unionByName(
-        marker.join(one.select("entity_id"), "entity_id", "left_anti"), allowMissingColumns=True
+    # Exactly one row: the scored one, or a not_found marker (one left join, so
+    # the scoring is planned once).
+    asked = one.sparkSession.range(1).select(F.lit(entity_id).alias("entity_id"))
+    return asked.join(one, "entity_id", "left").withColumn(
+        "status", F.coalesce("status", F.lit("not_found"))
+    ).withColumns(
+        {c: F.when(F.col("status") != "not_found", F.col(c))
+         for c in ("model_version_anomaly", "model_version_forecast")}
     )

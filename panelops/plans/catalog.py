@@ -12,6 +12,7 @@ from panelops.plans import (  # noqa: F401  (registration)
     q_features,
     q_models,
     q_monitoring,
+    q_rules,
     q_storage,
     q_validation,
 )

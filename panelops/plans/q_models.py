@@ -10,6 +10,7 @@ one fit; they are not reproducible by SQL, so these are rows-only checks.
 from __future__ import annotations
 
 import uuid
+from functools import cached_property
 
 from pyspark.sql import functions as F
 
@@ -30,23 +31,58 @@ _FITTED: dict = {}
 
 
 class Fitted:
-    """Both models fitted on one input folder, plus the shared frames."""
+    """Models fitted on one input folder (each when it is first needed) and
+    the frames they share."""
 
     def __init__(self, spark, sf_dir: str):
+        self.spark = spark
         self.inputs = Inputs(spark, sf_dir)
-        ensure_checkpoint_dir(spark)
-        self.clean = cut_lineage(self.inputs.clean)
-        self.facilities = cut_lineage(self.inputs.facilities)
+
+    @cached_property
+    def clean(self):
+        return cut_lineage(self.inputs.clean)
+
+    @property
+    def facilities(self):
+        return self.inputs.facilities
+
+    @cached_property
+    def train_a(self):
         feats = features.anomaly_features(self.clean)
-        self.train_a = cut_lineage(features.with_enough_history(feats).select(*KEY, *_Z))
-        self.iforest = iforest.fit_iforest(self.train_a, _Z, KEY)
+        return cut_lineage(features.with_enough_history(feats).select(*KEY, *_Z))
+
+    @cached_property
+    def iforest(self):
+        return iforest.fit_iforest(self.train_a, _Z, KEY)
+
+    @cached_property
+    def forest_path(self) -> str:
+        """Where the fitted forest is written (the shared checkpoint folder)."""
+        path = self._new_path()
+        iforest.save(self.iforest, self.spark, path)
+        return path
+
+    @cached_property
+    def split(self):
         ds = cut_lineage(features.forecast_dataset(self.clean, self.facilities))
-        self.train_f, self.test_f = features.time_split(ds)
-        self.forecast = fc.fit_forecaster(self.train_f, features.TARGET_COL)
-        # Saved under the shared checkpoint folder (never a machine-local dir).
-        self.model_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panelops-model-{uuid.uuid4().hex}"
-        fc.save(self.forecast, spark, self.model_dir)
-        self.nodes = fc.tree_nodes(self.forecast, spark, self.model_dir)
+        return features.time_split(ds)
+
+    @property
+    def test_f(self):
+        return self.split[1]
+
+    @cached_property
+    def forecast(self):
+        return fc.fit_forecaster(self.split[0], features.TARGET_COL)
+
+    @cached_property
+    def nodes(self):
+        path = self._new_path()
+        fc.save(self.forecast, self.spark, path)
+        return fc.tree_nodes(self.forecast, self.spark, path)
+
+    def _new_path(self) -> str:
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/panelops-model-{uuid.uuid4().hex}"
 
 
 def fitted(spark, sf_dir: str) -> Fitted:
@@ -62,7 +98,8 @@ def _scored(m: Fitted):
 
 @query("d1_iforest_nodes")
 def d1_iforest_nodes(spark, sf_dir):
-    return fitted(spark, sf_dir).iforest.node_frame(spark)
+    """The node table of the fitted forest, read back from where it was written."""
+    return spark.read.parquet(f"{fitted(spark, sf_dir).forest_path}/nodes")
 
 
 @query("d2_anomaly_scores")
@@ -282,10 +319,6 @@ def f13_model_reasons(spark, sf_dir):
                     reasons_to_sentence(F.col("r")).alias("why_flagged"))
 
 
-# Keep the feature list referenced for readers of the SHAP output order.
-SHAP_FEATURE_ORDER = list(FORECAST_FEATURES)
-
-
 @query("s15_upsert_scored")
 def s15_upsert_scored(spark, sf_dir):
     """Run-A stored the scores of the months before 1999; run-B scores

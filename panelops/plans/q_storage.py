@@ -219,8 +219,8 @@ def s11_upsert_facilities(spark, sf_dir):
     from panelops.sources import panel as src
 
     i = Inputs(spark, sf_dir)
-    everyone = src.facilities(
+    everyone = src.facilities_from_months(
         i.table("supplier").withColumn("s_acctbal", F.abs("s_acctbal")),
-        i.table("nation"), i.table("region"), i.table("lineitem"),
+        i.table("nation"), i.table("region"), i.supplier_months,
     ).withColumn("baseline_patient_volume", (F.col("baseline_patient_volume") + 1).cast("int"))
     return up.upsert(i.facilities, everyone, keys=[ENTITY])
