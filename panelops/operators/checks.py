@@ -23,7 +23,7 @@ is small and splits skewed batch partitions when one entity is hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,6 +145,20 @@ def robust_stats_long(
     # Read by the size check and by both medians.
     vc = cut_lineage(vc, "values")
     strategy = choose_strategy(vc, keys, max_group_values)
+    if strategy == "aggregate":
+        # One shuffle by entity: the window, both aggregates and the pivot of the
+        # caller share it (the check bounds what an entity brings).
+        half, cnt = F.lit(0.5), F.col("cnt")
+        median = F.percentile(F.col("value"), half, cnt).over(Window.partitionBy(*keys))
+        return (
+            vc.repartition(entity)
+            .withColumn("median", median)
+            .groupBy(*keys)
+            .agg(
+                F.first("median").alias("median"),
+                F.percentile(F.abs(F.col("value") - F.col("median")), half, cnt).alias("mad"),
+            )
+        )
     med = weighted_quantile(vc, keys, "value", "cnt", 0.5, "median", strategy=strategy)
     dev = vc.join(med, keys).select(
         *keys, F.abs(F.col("value") - F.col("median")).alias("value"), "cnt"

@@ -64,19 +64,23 @@ def start_landing(
     dag_logical_date: str,
     run_prefix: str = "stream",
     checkpoint_location: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     available_now: bool = True,
     clock: Callable[[], str] = _utc_now,
     on_report: Callable[[dict], None] | None = None,
 ):
-    """Start the landing stream; returns the ``StreamingQuery``."""
+    """Start the landing stream; returns the ``StreamingQuery``.
+
+    A micro-batch is the batch that the duplicate and outlier checks see. By
+    default that is everything that has arrived; ``max_files_per_trigger``
+    sets it to so many files (1: every delivered file is a batch of its own).
+    """
     if checkpoint_location is None:
         checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing-{run_prefix}"
-    stream = (
-        spark.readStream.schema(RAW_REPORT)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source_dir)
-    )
+    reader = spark.readStream.schema(RAW_REPORT)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source_dir)
     writer = (
         stream.writeStream.foreachBatch(
             landing_batch_handler(wh, run_prefix, dag_logical_date, clock, on_report)

@@ -42,6 +42,15 @@ def test_iforest_isolates_outliers_and_is_partition_independent(spark):
     assert (scored.head(6).anomaly_score > scored.iloc[6:].anomaly_score.max() - 1e-12).all()
 
 
+def test_threshold_does_not_depend_on_the_plan(spark):
+    """Both selections give the same bits, also with very many equal scores."""
+    df = _blob(spark, 400).withColumn("a", F.when(F.col("k") % 10 > 0, 0.0).otherwise(F.col("a")))
+    df = df.withColumns({c: F.when(F.col("k") % 10 > 0, 0.0).otherwise(F.col(c)) for c in "bc"})
+    got = {iforest.fit_iforest(df, ["a", "b", "c"], ["k"], n_trees=20, strategy=s).threshold
+           for s in ("aggregate", "distributed")}
+    assert len(got) == 1
+
+
 def test_iforest_save_load_roundtrip(spark):
     df = _blob(spark, 200)
     m = iforest.fit_iforest(df, ["a", "b", "c"], ["k"], n_trees=20)

@@ -47,3 +47,16 @@ def test_robust_stats_same_under_both_strategies(spark):
     for ra, rb in zip(a, b):
         for x, y in zip(ra, rb):
             assert x == y or (x is not None and y is not None and abs(x - y) < 1e-9)
+
+
+def test_both_strategies_agree_to_the_bit(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(g), float(v), int(w)) for g, v, w in zip(
+        rng.integers(0, 300, 6000), rng.normal(size=6000), rng.integers(1, 4, 6000), strict=True)]
+    df = spark.createDataFrame(rows, "g int, v double, w int")
+    for q in (0.5, 0.95):
+        a, b = (
+            {r["g"]: r["t"] for r in weighted_quantile(df, ["g"], "v", "w", q, "t", strategy=s).collect()}
+            for s in ("aggregate", "distributed")
+        )
+        assert a == b

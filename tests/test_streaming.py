@@ -19,7 +19,7 @@ def test_each_micro_batch_is_a_validated_run(spark):
     frame(spark, [entry(month="2024-04-01"), entry(month="2024-04-01", patients_tested=7),
                   entry("H-99", "2024-05-01")]).coalesce(1).write.mode("append").parquet(src)
     reports = []
-    q = start_landing(spark, src, wh, "2024-12-31", run_prefix="s",
+    q = start_landing(spark, src, wh, "2024-12-31", run_prefix="s", max_files_per_trigger=1,
                       checkpoint_location=f"{root}/ckpt", clock=lambda: "2025-01-01 00:00:00",
                       on_report=reports.append)
     q.awaitTermination(300)
@@ -31,7 +31,7 @@ def test_each_micro_batch_is_a_validated_run(spark):
     assert sorted(r.quarantine_reason for r in q_rows) == [
         "duplicate_facility_month", "duplicate_facility_month", "unknown_facility_id"]
     # A restart with the same checkpoint processes nothing new.
-    q2 = start_landing(spark, src, wh, "2024-12-31", run_prefix="s",
+    q2 = start_landing(spark, src, wh, "2024-12-31", run_prefix="s", max_files_per_trigger=1,
                        checkpoint_location=f"{root}/ckpt", clock=lambda: "2025-01-02 00:00:00",
                        on_report=reports.append)
     q2.awaitTermination(300)
