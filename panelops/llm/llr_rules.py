@@ -133,7 +133,9 @@ def cell_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
         .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("r"), F.sum("t").alias("t"))
     )
-    # At most ``buckets`` rows from here on.
+    # At most ``buckets`` rows from here on; written once, as they are read for
+    # the totals and for the ratios.
+    counts = cut_lineage(counts, "cells")
     raw_total, target_total = counts.agg(F.sum("r"), F.sum("t")).first()
     pseudo = float(PSEUDO * buckets)
 
