@@ -27,7 +27,8 @@ folder, so lineage stays short and lost executors cost one round. Joins are
 keyed by (tree, node), which is unique on one side; a message with very many
 replies is a hot key on the other, which AQE's skew join splits.
 
-Defined cases: null role and text count as empty; a parent that does not
+Defined cases: null role and text count as empty; a null tree id is a tree of
+its own, messages without a node id are left out; a parent that does not
 exist makes its message a root; messages of a reply cycle have no root and
 are left out; repeated rows of a linear table are turns of their own, ordered
 by (turn, role, text); an empty table gives no rows; other columns are
@@ -170,9 +171,12 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
 def format_conversations(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """One row per chosen path: tree, leaf, branch_rank, n_turns, formatted,
     loss_spans. ``messages``: tree, node, parent, role, text, score."""
+    # Joins need a key that is never null: a null tree is a tree of its own.
     messages = cut_lineage(
-        messages.select(
-            "tree", "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
+        messages.where(F.col("node").isNotNull()).select(
+            F.col("tree").alias("_tree"),
+            F.coalesce(F.col("tree").cast("string"), F.lit("\0")).alias("tree"),
+            "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
             F.coalesce("text", F.lit("")).alias("text"),
             F.coalesce("score", F.lit(0.0)).cast("double").alias("score"),
         ),
@@ -181,8 +185,8 @@ def format_conversations(messages: DataFrame, branches: int | None = None) -> Da
     head = F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n"))
     turns = (
         paths(messages.select("tree", "node", "parent", "score"), branches)
-        .join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
-        .select("tree", "leaf", "branch_rank", "up", "role", head.alias("head"),
+        .join(messages.select("tree", "node", "_tree", "role", "text"), ["tree", "node"])
+        .select("tree", "_tree", "leaf", "branch_rank", "up", "role", head.alias("head"),
                 escape(F.col("text")).alias("body"))
     )
     path = Window.partitionBy("tree", "leaf").orderBy(F.desc("up"))
@@ -200,6 +204,7 @@ def format_conversations(messages: DataFrame, branches: int | None = None) -> Da
     return (
         placed.groupBy("tree", "leaf")
         .agg(
+            F.first("_tree").alias("_tree"),
             F.first("branch_rank").alias("branch_rank"),
             F.count(F.lit(1)).alias("n_turns"),
             F.sort_array(
@@ -211,7 +216,7 @@ def format_conversations(messages: DataFrame, branches: int | None = None) -> Da
             F.sort_array(F.collect_list(learned)).alias("loss_spans"),
         )
         .select(
-            "tree", "leaf", "branch_rank", "n_turns",
+            F.col("_tree").alias("tree"), "leaf", "branch_rank", "n_turns",
             F.array_join(F.transform("_turns", lambda t: t["turn"]), "").alias("formatted"),
             "loss_spans",
         )

@@ -204,7 +204,8 @@ def test_reply_tree_paths(spark):
     nodes = [(1, None, 1.0), (2, 1, 5.0), *[(k, k - 1 if k > 3 else 1, 0.1) for k in range(3, 13)],
              (20, 21, 9.0), (21, 20, 9.0), (30, 99, 0.0)]
     rows = [("t", n, p, ["user", "assistant"][n % 2], f"<|im_end|>\n<\\|s {n} é", s) for n, p, s in nodes]
-    rows.append(("u", 1, None, None, None, None))
+    rows += [("u", 1, None, None, None, None), (None, 1, None, "user", "x", 0.0),
+             (None, 2, 1, "assistant", "y", 0.0), ("t", None, 1, "user", "lost", 0.0)]
     msgs = spark.createDataFrame(
         rows, "tree string, node long, parent long, role string, text string, score double"
     ).withColumn("up", F.lit("clash"))
@@ -219,13 +220,14 @@ def test_reply_tree_paths(spark):
     finally:
         chat_trees.MAX_ROUNDS = old
     got = {(r["tree"], r["leaf"]): r for r in out}
-    assert set(got) == {("t", 2), ("t", 12), ("t", 30), ("u", 1)}
+    assert set(got) == {("t", 2), ("t", 12), ("t", 30), ("u", 1), (None, 2)}
+    assert got[None, 2]["n_turns"] == 2 and got[None, 2]["learned"] == "y"
     assert got["t", 2]["branch_rank"] == 1 and got["t", 12]["branch_rank"] == 2
     chain = [1, *range(3, 13)]
     assert [t["text"] for t in got["t", 12]["back"]] == [f"<|im_end|>\n<\\|s {n} é" for n in chain]
     assert got["t", 12]["learned"] == "".join(f"<|im_end|>\n<\\|s {n} é" for n in chain if n % 2)
     assert [t["role"] for t in got["u", 1]["back"]] == [""]
-    assert {(r["tree"], r["leaf"]) for r in best} == {("t", 2), ("u", 1)}
+    assert {(r["tree"], r["leaf"]) for r in best} == {("t", 2), ("u", 1), (None, 2)}
     assert chat_trees.format_conversations(msgs.limit(0)).count() == 0
 
 
