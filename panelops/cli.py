@@ -58,7 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     add("train-anomaly", run, date, now, models, (["--ledger-csv"], {}),
         (["--trees"], {"type": int, "default": 200}))
     add("train-forecast", run, date, now, models, (["--trees"], {"type": int, "default": 150}))
-    add("register", run, now, (["--model-name"], {"required": True}))
+    add("register", run, now, (["--model-name"], {"required": True}),
+        (["--gate-metric"], {"help": "promote only if better than the current version on it"}),
+        (["--higher-is-better"], {"action": "store_true"}))
     add("score", run, date, now)
     add("quality-alert", (["--report-file"], {"required": True}))
     add("publish", (["--report-file"], {"required": True}), (["--score-file"], {"required": True}),
@@ -94,8 +96,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "register":
         from panelops.models import registry
 
+        gate = (args.gate_metric, not args.higher_is_better) if args.gate_metric else None
         res = {"model_name": args.model_name, "run_id": args.run_id,
-               "version": registry.register(wh, args.run_id, args.model_name, args.now)}
+               "version": registry.register(wh, args.run_id, args.model_name, args.now, gate)}
     elif args.cmd == "score":
         res = jobs.score(wh, ctx)
     elif args.cmd == "quality-alert":

@@ -96,9 +96,19 @@ def latest_versions(vers: DataFrame) -> DataFrame:
     ).select("model_name", "v.version", "v.run_id", "v.model_path")
 
 
-def register(wh: Warehouse, run_id: str, model_name: str, registered_at: str) -> str:
+def register(
+    wh: Warehouse,
+    run_id: str,
+    model_name: str,
+    registered_at: str,
+    gate: tuple[str, bool] | None = None,
+) -> str:
     """R2: promote the last training of a run to version max+1 of
-    ``model_name``; a training that has a version keeps it."""
+    ``model_name``; a training that has a version keeps it.
+
+    ``gate`` (X4): (metric, lower is better). A training that does not beat
+    the current version on it is not promoted; the current version is
+    returned."""
     runs = trainings(wh, run_id, model_name)
     run = runs.orderBy(F.desc("training_id")).select("model_path").limit(1).collect()
     if not run:
@@ -108,6 +118,15 @@ def register(wh: Warehouse, run_id: str, model_name: str, registered_at: str) ->
     ).select("version").first()
     if known:
         return known["version"]
+    if gate and versions(wh).where(F.col("model_name") == model_name).limit(1).count():
+        metric, lower_is_better = gate
+        current, path = resolve_latest(wh, model_name)
+        held = wh.read(RUNS_TABLE, RUNS_SCHEMA).where(F.col("model_path") == path).first()
+        if not promotion_gate(
+            run_metrics(wh, run_id, model_name), held and dict(held["metrics"]), metric,
+            lower_is_better,
+        ):
+            return current
     cur = (
         versions(wh)
         .where(F.col("model_name") == model_name)

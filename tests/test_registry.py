@@ -39,6 +39,17 @@ def test_training_again_keeps_what_is_registered(spark):
     assert len(details) == 2 and all('"cutoff": "2024-01"' in d for d in details)
 
 
+def test_register_behind_a_gate(spark):
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="wh-", dir="/tmp"))
+    stamp = "2024-01-01 00:00:00"
+    got = []
+    for run, mae in (("a", 3.0), ("b", 4.0), ("c", 2.0)):
+        registry.log_run(wh, run, "m", 1, {}, {"mae": mae}, ["x"], f"/models/{run}", stamp)
+        got.append(registry.register(wh, run, "m", stamp, gate=("mae", True)))
+    assert got == ["1", "1", "2"]
+    assert registry.resolve_latest(wh, "m") == ("2", "/models/c")
+
+
 def test_promotion_gate():
     assert registry.promotion_gate({"mae": 1.0}, None, "mae", True)
     assert registry.promotion_gate({"mae": 1.0}, {"mae": 2.0}, "mae", True)
