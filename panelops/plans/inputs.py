@@ -65,7 +65,8 @@ class Inputs:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return inject.inject_raw(self.panel)
+        """The landed batch: every check reads it, so it is written once."""
+        return cut_lineage(inject.inject_raw(self.panel), "raw")
 
     @cached_property
     def ledger(self) -> DataFrame:
@@ -99,7 +100,8 @@ class Inputs:
 
     @cached_property
     def gaps(self) -> DataFrame:
-        return checks.completeness_gaps(self.raw, self.facilities)
+        """The report counts them and takes the first by key."""
+        return cut_lineage(checks.completeness_gaps(self.raw, self.facilities), "gaps")
 
     @cached_property
     def anomaly_features(self) -> DataFrame:
