@@ -47,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelops.llm.caches import claim, register
 from panelops.llm.components import components
 from panelops.session import cut_lineage
 
@@ -73,7 +74,7 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
+_HASHES = register("shingle words", _WordHashes())
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -138,6 +139,7 @@ def heavy_shingles(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     and the frequency they reach."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingle words")
         held: list[np.ndarray] = []
         size = 0
 
@@ -209,6 +211,7 @@ def _postings(docs: DataFrame, heavy, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        claim("shingle words")
         long_lists = heavy.value
         shift = np.uint64(32 - bits)
         tokens: list[np.ndarray] = []
@@ -408,6 +411,7 @@ def _sets(rows: DataFrame) -> DataFrame:
     """Replace ``text`` by the shingle set of each row, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingle words")
         for batch in batches:
             at = batch.schema.names.index("text")
             tokens = pa.array([shingle_set(t.as_py()).tobytes() for t in batch.column(at)],

@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelops.llm.caches import claim, register
+
 BUCKETS = 4096
 FACTORS = 8
 MAX_TRAIN = 12_000
@@ -81,7 +83,7 @@ class _Buckets(dict):
         return b
 
 
-_WORD_BUCKETS = _Buckets()
+_WORD_BUCKETS = register("quality words", _Buckets())
 
 
 def features(text: str | None, n_chars: float | None) -> tuple[np.ndarray, np.ndarray]:
@@ -183,6 +185,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 
 def _feature_rows(labelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claim("quality words")
         for pdf in batches:
             found = [
                 features(t, n) for t, n in zip(pdf["text"], pdf["n_chars"], strict=True)
@@ -228,6 +231,7 @@ def score(text: Column, n_chars: Column, model: Model | None) -> Column:
 
     @F.pandas_udf("double")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        claim("quality words")
         for texts, sizes in batches:
             out = np.empty(len(texts))
             for at in range(0, len(texts), 256):

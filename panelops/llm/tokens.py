@@ -25,7 +25,9 @@ import re
 
 import numpy as np
 
-MAX_CACHED = 2_000_000  # about 450 MB in a worker
+from panelops.llm.caches import claim, register
+
+MAX_CACHED = 1_200_000  # about 270 MB in a worker
 MAX_CHUNK = 64  # longer chunks are encoded each time, not kept
 
 _RUN = re.compile(r"\s\s")
@@ -101,4 +103,6 @@ def encoder(path: str, keeps_space: bool) -> ChunkEncoder:
     key = (path, keeps_space)
     if key not in _ENCODERS:
         _ENCODERS[key] = ChunkEncoder(path, keeps_space)
+        register(f"tokens {key}", _ENCODERS[key].cache)
+    claim(f"tokens {key}")
     return _ENCODERS[key]
