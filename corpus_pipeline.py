@@ -67,7 +67,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return best_fit.pack(docs, tokenizer("byte_bpe_50k.json"))
+    # The workers come from the stages before and have grown with them.
+    return best_fit.pack(docs, tokenizer("byte_bpe_50k.json"), max_cached=500_000)
 
 
 STAGES = [

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelops.llm.tokens import MAX_CACHED
+
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 OPEN_BINS = 8192
@@ -83,7 +85,11 @@ def cut_pieces(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID
+    docs: DataFrame,
+    tokenizer: str,
+    size: int = SEQUENCE_TOKENS,
+    end_id: int = END_ID,
+    max_cached: int = MAX_CACHED,
 ) -> DataFrame:
     """One row per piece of every document (``docs``: doc_id, text, copy)."""
 
@@ -92,7 +98,7 @@ def pieces(
 
         from panelops.llm.tokens import encoder
 
-        enc = encoder(tokenizer, keeps_space=True)
+        enc = encoder(tokenizer, True, max_cached)
         for batch in batches:
             doc, copy, text = (batch.column(i).to_pylist() for i in range(3))
             out: list[tuple] = []
@@ -117,17 +123,20 @@ def pack(
     end_id: int = END_ID,
     open_bins: int = OPEN_BINS,
     group_docs: int = GROUP_DOCS,
+    max_cached: int = MAX_CACHED,
 ) -> DataFrame:
     """Place every piece of every document (needs doc_id and text).
 
     Returns doc_id, copy, piece, start, length, ids_crc32, sequence_id,
     offset. ``sequence_id`` is the group in the high 32 bits and the bin in
-    the low ones.
+    the low ones. ``max_cached`` bounds the chunks a worker remembers (about
+    230 bytes each); it changes speed and memory only.
     """
     # One count of rows (Parquet footers alone answer it).
     groups = max(1, -(-docs.count() // group_docs))
     copy = F.monotonically_increasing_id()
-    rows = pieces(docs.select("doc_id", "text", copy.alias("copy")), tokenizer, size, end_id)
+    numbered = docs.select("doc_id", "text", copy.alias("copy"))
+    rows = pieces(numbered, tokenizer, size, end_id, max_cached)
     group = F.pmod(F.xxhash64("doc_id", "copy"), F.lit(groups)).alias("_g")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

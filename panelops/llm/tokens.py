@@ -37,7 +37,7 @@ _TAIL = re.compile(r"(.*[^\W_])([.,;:!?%$&#*|]+)\Z", re.S)
 
 
 class ChunkEncoder:
-    """One per Python worker and tokenizer file; memory bounded by MAX_CACHED.
+    """One per Python worker and tokenizer file; memory bounded by ``max_cached``.
 
     The cache maps a chunk to its ids as little-endian u32 bytes.
     """
@@ -48,6 +48,7 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.keeps_space = keeps_space
+        self.max_cached = MAX_CACHED
         self.cache: dict[str, bytes] = {}
 
     def whole(self, text: str) -> np.ndarray:
@@ -83,7 +84,7 @@ class ChunkEncoder:
         if parts is None:
             return self.whole(text)
         cache = self.cache
-        if len(cache) > MAX_CACHED:
+        if len(cache) > self.max_cached:
             cache.clear()
         missing = [c for c in set(parts) if c not in cache]
         if not missing:
@@ -96,7 +97,7 @@ class ChunkEncoder:
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+def encoder(path: str, keeps_space: bool, max_cached: int = MAX_CACHED) -> ChunkEncoder:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -105,4 +106,5 @@ def encoder(path: str, keeps_space: bool) -> ChunkEncoder:
         _ENCODERS[key] = ChunkEncoder(path, keeps_space)
         register(f"tokens {key}", _ENCODERS[key].cache)
     claim(f"tokens {key}")
+    _ENCODERS[key].max_cached = max_cached
     return _ENCODERS[key]
