@@ -22,6 +22,7 @@ are ordinary text.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -33,7 +34,8 @@ MAX_CHUNK = 64  # longer chunks are encoded each time, not kept
 _RUN = re.compile(r"\s\s")
 # Visible text that ends in a letter or digit, then a run of marks: the marks
 # are a pre-token of their own in both tokenizers.
-_TAIL = re.compile(r"(.*[^\W_])([.,;:!?%$&#*|]+)\Z", re.S)
+_MARKS = ".,;:!?%$&#*|"
+_TAIL = re.compile(rf"(.*[^\W_])([{_MARKS}]+)\Z", re.S)
 
 
 class ChunkEncoder:
@@ -64,11 +66,13 @@ class ChunkEncoder:
 
     def _learn(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of chunks that are not cached; keeps those of usual length."""
-        split = {c: (m[1], m[2]) for c in missing if (m := _TAIL.match(c))}
+        split = {
+            c: (m[1], m[2]) for c in missing if c[-1] in _MARKS and (m := _TAIL.match(c))
+        }
         parts = dict.fromkeys(p for c in missing for p in split.get(c, (c,)))
         new = [p for p in parts if p not in self.cache]
         found = self.tok.encode_batch_fast(new, add_special_tokens=False)
-        known = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, found, strict=True)}
+        known = {p: array("I", e.ids).tobytes() for p, e in zip(new, found, strict=True)}
         for p in parts:
             if p not in known:
                 known[p] = self.cache[p]
