@@ -20,6 +20,7 @@ from panelops.llm import (
     pii_anchors,
     pivotal_mix,
     quality_fm,
+    sentence_pieces,
     url_reputation,
     winnowing,
 )
@@ -137,6 +138,17 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, outcomes)
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(read(spark, sf_dir, "documents"), model)
+    joined = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return sentence_pieces.decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_elias_fano": op2_elias_fano,
@@ -148,4 +160,5 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_reputation": op10_url_reputation,
+    "op11_sentence_pieces": op11_sentence_pieces,
 }
