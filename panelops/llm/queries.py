@@ -22,6 +22,7 @@ from panelops.llm import (
     quality_fm,
     sentence_pieces,
     url_reputation,
+    whitening,
     winnowing,
 )
 from panelops.llm.common import read
@@ -149,6 +150,12 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").cast("bigint")
+    )
+
+
 QUERIES = {
     "op1_quality_fm": op1_quality_fm,
     "op2_elias_fano": op2_elias_fano,
@@ -161,4 +168,5 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_reputation": op10_url_reputation,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op13_whitening": op13_whitening,
 }
