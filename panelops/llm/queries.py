@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelops.llm import (
     best_fit,
+    chat_repair,
     chat_trees,
     elias_fano,
     jaccard_join,
@@ -150,6 +151,11 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return chat_repair.repair_report(turns, chat_repair.damage(turns))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings")).withColumn(
         "deviation", F.col("deviation").cast("bigint")
@@ -168,5 +174,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_url_reputation": op10_url_reputation,
     "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_chat_repair": op12_chat_repair,
     "op13_whitening": op13_whitening,
 }
