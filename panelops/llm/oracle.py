@@ -139,8 +139,135 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
+def _cheapest(*options: str) -> str:
+    return f"least({', '.join(options)})"
+
+
+def _edit(letter: str, cost: str, behind: str) -> str:
+    """A way, as cost (eight digits) and letters, with one edit before it."""
+    return f"(lpad((left({behind}, 8)::INT + {cost})::VARCHAR, 8, '0') || '{letter}' || substr({behind}, 9))"
+
+
+def _repairs() -> str:
+    """Cheapest way from each state (n nothing, s, u, a) to the end, row by
+    row from the last; the letters are kept, so that ties go to the least."""
+    kept = {"n": ("'s'", "s", "'u'", "u"), "s": ("'u'", "u"), "u": ("'a'", "a"), "a": ("'u'", "u")}
+    other = {"n": "u", "s": "u", "u": "a", "a": "u"}
+    before = []
+    for s in "nsua":
+        ways = [_edit("D", "4", f"r.{s}")]
+        whens = kept[s]
+        keep = " ".join(
+            f"WHEN x.initial = {whens[k]} THEN {_edit('K', 'x.extra', 'r.' + whens[k + 1])}"
+            for k in range(0, len(whens), 2)
+        )
+        ways.append(f"CASE WHEN x.must THEN NULL {keep} END")
+        ways.append(f"CASE WHEN NOT x.must THEN {_edit('R', '3 + x.extra', 'r.' + other[s])} END")
+        before.append(f"{_cheapest(*ways)} AS {s}0")
+    u1 = _cheapest("u0", _edit("I", "3", "a0"))
+    a1 = _cheapest("a0", _edit("I", "3", "u0"))
+    return f"""
+  SELECT conv_id, k, {_cheapest('n0', _edit('I', '3', 'u1'))} AS n,
+    {_cheapest('s0', _edit('I', '3', 'u1'))} AS s, u1 AS u, a1 AS a
+  FROM (SELECT *, {u1} AS u1, {a1} AS a1 FROM (
+    SELECT r.conv_id, r.k - 1 AS k, {', '.join(before)}
+    FROM r JOIN x ON x.conv_id IS NOT DISTINCT FROM r.conv_id AND x.spot = r.k))"""
+
+
+REPAIR = rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations
+),
+crc AS (
+  -- One list element per bit, the byte with the first of its eight.
+  SELECT *, xor(list_reduce(flatten(list_transform(str_split(name, ''),
+      lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT),
+    4294967295) % 20 AS kind
+  FROM named
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM crc WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS spot
+  FROM hurt
+),
+judged AS (
+  SELECT *, left(role, 1) AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY spot) > 1 AS again,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY spot), 1) || left(role, 1) AS pair,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY spot) IS NOT NULL AS follows
+  FROM placed
+),
+x AS (
+  SELECT *, final = '' AS blank, final <> '' AND again AS duplicate,
+    final = '' OR again AS must, CASE WHEN final IN ('.', '!', '?') THEN 0 ELSE 3 END AS extra
+  FROM judged
+),
+r AS (
+  SELECT conv_id, max(spot) AS k, '00000000' AS n, '00000006II' AS s, '00000003I' AS u, '00000000' AS a
+  FROM x GROUP BY conv_id
+  UNION ALL {_repairs()}
+),
+best AS (SELECT conv_id, left(n, 8)::BIGINT AS cost, substr(n, 9) AS audit FROM r WHERE k = 0),
+letters AS (
+  SELECT conv_id, unnest(str_split(audit, '')) AS edit,
+    unnest(range(1, length(audit) + 1)) AS place FROM best WHERE audit <> ''
+),
+numbered AS (
+  SELECT *, sum((edit <> 'I')::INT) OVER w AS spot, sum((edit <> 'D')::INT) OVER w AS made
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+),
+-- Rows that are not kept alternate, by what is before them; the state after
+-- a kept row is its initial.
+made AS (
+  SELECT e.conv_id, e.made, e.edit, x.role, CASE WHEN edit = 'I' THEN '' ELSE x.text END AS text,
+    CASE WHEN edit = 'K' THEN x.initial END AS known
+  FROM numbered e LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM e.conv_id AND x.spot = e.spot
+  WHERE edit <> 'D'
+),
+spans AS (
+  SELECT *, count(known) OVER (PARTITION BY conv_id ORDER BY made) AS span FROM made
+),
+spoken AS (
+  SELECT conv_id, made, text, CASE WHEN edit = 'K' THEN role
+    WHEN first_value(known) OVER s = 'u' THEN
+      CASE WHEN row_number() OVER s % 2 = 0 THEN 'assistant' ELSE 'user' END
+    WHEN first_value(known) OVER s IS NULL THEN
+      CASE WHEN row_number() OVER s % 2 = 1 THEN 'user' ELSE 'assistant' END
+    ELSE CASE WHEN row_number() OVER s % 2 = 0 THEN 'user' ELSE 'assistant' END END AS role
+  FROM spans WINDOW s AS (PARTITION BY conv_id, span ORDER BY made)
+),
+hashed AS (
+  SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY made)) AS sha
+  FROM spoken GROUP BY conv_id
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+    count(*) FILTER (WHERE NOT must AND extra > 0) AS truncated,
+    count(*) FILTER (WHERE follows AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM x GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE = {
     "op4_reply_trees": CONVERSATIONS,
     "op9_jaccard_join": JACCARD,
     "op10_url_reputation": URLS,
+    "op12_chat_repair": REPAIR,
 }
