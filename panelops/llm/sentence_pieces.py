@@ -1,35 +1,38 @@
-"""SentencePiece encoding by a table of distinct marked words.
+"""SentencePiece encoding by tables of distinct marked words.
 
 A SentencePiece model turns every space into a marker and puts one marker in
 front of a text. Where no piece has a marker behind another character, no
 piece crosses from one *marked word* (a run of markers and the characters up
 to the next marker) into the next, so a text's ids are the ids of its marked
-words, one after the other, and equal words have equal ids. Steps:
-
-1. Blocks: each task gathers documents to blocks of about ``block_chars``
-   characters. A block is written as one row: its distinct marked words, most
-   frequent first, and the text as a compressed array of word numbers.
-2. Table: the distinct words of all blocks are shuffled by word and sorted,
-   so that each distinct word of the corpus is segmented once, by the
-   library. What is shuffled is at most one row per word and block, so the
-   most frequent word has as many rows as there are blocks.
-3. Join back: a block gets the ids of its words back, and the ids of every
-   document are gathered by the word numbers, that is by position.
+words, one after the other, and equal words have equal ids.
 
-``decode`` hands each document's ids to the library's ``decode``.
+Each task takes its documents in blocks of about ``block_chars`` characters:
+
+1. the block's texts are cut to marked words, and these to a table of the
+   distinct ones and the number of every word in it;
+2. each distinct word that the task has not met is segmented, once, by the
+   library; what is known is kept for the task's next blocks;
+3. the ids of every document are gathered by the word numbers, that is by
+   position.
+
+Nothing is shuffled or written: one table for the whole corpus was tried
+first and needs more than twice the input on disk, because most distinct words
+occur in one block only and each would travel to its table and back.
+Memory of a task: one block, its table and at most ``MAX_KEPT`` kept words (a
+text longer than a block is a block of its own).
 
-The blocks are written to the shared checkpoint folder before their words are
-read, so a lost executor cannot number them twice. Memory of a task: one
-block and its table (a text longer than a block is a block of its own).
+``decode`` hands each document's ids to the library's ``decode``.
 
 Defined cases: a null or empty text has no ids and decodes to the empty
 string; a null doc_id is kept; repeated rows give a row each; very long texts
-are encoded whole; an empty table gives no rows; the order of equal ids has
-no meaning; other columns are ignored, whatever their names.
+are encoded whole; an empty table gives no rows; other columns are ignored,
+whatever their names. Rows of one doc_id need not be equal (ties), each is
+encoded by itself.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,10 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelops.session import cut_lineage
-
 MARK = "▁"  # fixed value: SentencePiece's marker for a space
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
+MAX_KEPT = 600_000  # about 100 MB in a worker
 
 _MODELS: dict = {}
 
@@ -98,155 +100,73 @@ def segment_words(model_path: str, words: list[str]) -> list[list[int]]:
     return [ids if w else alone for w, ids in zip(words, model.encode(words, num_threads=1), strict=True)]
 
 
-def _blocks(docs: DataFrame, block_chars: int) -> DataFrame:
-    key = docs.schema["doc_id"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("seq", T.LongType()),
-            T.StructField("doc_ids", T.ArrayType(key)),
-            T.StructField("n_words", T.ArrayType(T.LongType())),
-            T.StructField("words", T.ArrayType(T.StringType())),
-            T.StructField("numbers", T.BinaryType()),
-        ]
-    )
-
-    def block(seq: int, keys: list[pa.Array], texts: list[pa.Array]) -> pa.RecordBatch:
-        lists = marked_words(pa.concat_arrays(texts))
-        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = pc.dictionary_encode(lists.flatten())
-        found = coded.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(-np.bincount(found, minlength=len(coded.dictionary)), kind="stable")
-        rank = np.empty(len(order), "<u4")
-        rank[order] = np.arange(len(order), dtype="<u4")
-        numbers = pa.compress(rank[found].tobytes(), "zstd", asbytes=True)
-        ids = pa.concat_arrays(keys)
-        one = lambda a, t: pa.ListArray.from_arrays([0, len(a)], a.cast(t))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([seq], pa.int64()), one(ids, ids.type), one(pa.array(sizes), pa.int64()),
-                one(coded.dictionary.take(pa.array(order)), pa.string()),
-                pa.array([numbers], pa.binary()),
-            ],
-            names=schema.names,
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[pa.Array] = []
-        texts: list[pa.Array] = []
-        held = seq = 0
-        for batch in batches:
-            text = batch.column(1).cast(pa.large_string()).fill_null("")
-            ends = np.cumsum(pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64))
-            at = done = 0
-            while at < len(batch):
-                # As many whole documents as fill the block, one at least.
-                room = done + block_chars - held
-                stop = max(int(np.searchsorted(ends, room, side="right")), at + (held == 0))
-                keys.append(batch.column(0).slice(at, stop - at))
-                texts.append(text.slice(at, stop - at))
-                held += int(ends[stop - 1]) - done if stop > at else 0
-                done = int(ends[stop - 1]) if stop else 0
-                if stop < len(batch) or held >= block_chars:
-                    yield block(seq, keys, texts)
-                    keys, texts, held, seq = [], [], 0, seq + 1
-                at = stop
-        if sum(map(len, keys)):
-            yield block(seq, keys, texts)
-
-    rows = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
-    return rows.select(F.spark_partition_id().alias("part"), "*")
-
-
-def _segmented(blocks: DataFrame, model: str) -> DataFrame:
-    """(part, seq, at, ids): ids of every word of every block, as u32 bytes;
-    each distinct word is handed to the library once."""
-    words = blocks.select("part", "seq", F.posexplode("words").alias("at", "word"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: dict[str, bytes] = {}  # the last word of the batch before
-        for batch in batches:
-            coded = pc.dictionary_encode(batch.column(3))
-            names = coded.dictionary.to_pylist()
-            new = [w for w in names if w not in last]
-            known = {
-                w: np.array(ids, "<u4").tobytes()
-                for w, ids in zip(new, segment_words(model, new), strict=True)
-            }
-            known.update((w, i) for w, i in last.items() if w in names[:1])
-            table = pa.array([known[w] for w in names], pa.binary())
-            if names:
-                last = {names[-1]: known[names[-1]]}
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], table.take(coded.indices)], names=["part", "seq", "at", "ids"]
-            )
-
-    return (
-        words.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(run, "part int, seq long, at int, ids binary")
-    )
-
-
-def encode(docs: DataFrame, model: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+class WordTable:
+    """Ids (u32 bytes) of the marked words that a task has met."""
+
+    def __init__(self, model: str, max_kept: int = MAX_KEPT):
+        self.model, self.max_kept = model, max_kept
+        self.known: dict[str, bytes] = {}
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > self.max_kept:
+            known.clear()
+            new = words
+        for at in range(0, len(new), 50_000):
+            some = new[at : at + 50_000]
+            found = segment_words(self.model, some)
+            known.update(zip(some, (array("I", i).tobytes() for i in found), strict=True))
+        return [known[w] for w in words]
+
+
+def encode_block(texts: pa.Array, table: WordTable) -> pa.ListArray:
+    """Ids of every text (no nulls)."""
+    lists = marked_words(texts)
+    coded = pc.dictionary_encode(lists.flatten())
+    numbers = coded.indices.to_numpy(zero_copy_only=False)
+    ids = table.ids_of(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+    starts = np.cumsum(sizes) - sizes
+    counts = sizes[numbers]
+    before = np.concatenate([[0], np.cumsum(counts)])
+    places = np.repeat(starts[numbers] - before[:-1], counts) + np.arange(before[-1])
+    words = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    bounds = before[np.concatenate([[0], np.cumsum(words)])]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[places]))
+
+
+def blocks_of(texts: pa.Array, block_chars: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of runs of whole texts of about ``block_chars``."""
+    ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = done = 0
+    while start < len(texts):
+        stop = max(int(np.searchsorted(ends, done + block_chars, side="right")), start + 1)
+        yield start, stop
+        start, done = stop, int(ends[stop - 1])
+
+
+def encode(
+    docs: DataFrame, model: str, block_chars: int = BLOCK_CHARS, max_kept: int = MAX_KEPT
+) -> DataFrame:
     """doc_id and ids (array of int) of every row of ``docs`` (doc_id, text)."""
     check_model(model)
-    blocks = cut_lineage(_blocks(docs, block_chars), "blocks")
-    tables = (
-        _segmented(blocks, model)
-        .groupBy("part", "seq")
-        .agg(F.collect_list(F.struct("at", "ids")).alias("table"))
-    )
-    placed = blocks.select("part", "seq", "doc_ids", "n_words", "numbers").join(
-        tables, ["part", "seq"], "left"  # a block of empty texts has no words
-    )
-    key = docs.schema["doc_id"].dataType
     schema = T.StructType(
-        [T.StructField("doc_id", key), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+        [docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
     )
 
-    def by_number(table: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids of a block's table in word-number order; start and size of each word."""
-        order = np.argsort(table.field("at").to_numpy(zero_copy_only=False))
-        ids = table.field("ids").take(pa.array(order))
-        sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        return np.frombuffer(b"".join(ids.to_pylist()), "<u4"), np.cumsum(sizes) - sizes, sizes
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = WordTable(model, max_kept)
         for batch in batches:
-            for b in range(len(batch)):
-                keys = batch.column(2)[b].values
-                ends = np.cumsum(batch.column(3)[b].values.to_numpy(zero_copy_only=False))
-                n = int(ends[-1])
-                raw = pa.decompress(batch.column(4)[b].as_buffer(), 4 * n, "zstd", asbytes=True)
-                numbers = np.frombuffer(raw, "<u4")
-                bounds = np.concatenate([[0], ends]).astype(np.int64)
-                if n:
-                    flat, starts, sizes = by_number(batch.column(5)[b].values)
-                # A few documents at a time: the ids are larger than their block.
-                first = 0
-                while first < len(keys):
-                    stop = int(np.searchsorted(bounds, bounds[first] + 250_000, side="right")) - 1
-                    stop = min(max(stop, first + 1), len(keys))
-                    some = numbers[bounds[first] : bounds[stop]]
-                    ids, at = np.empty(0, "<u4"), np.zeros(stop - first + 1, np.int64)
-                    if len(some):
-                        counts = sizes[some]
-                        before = np.concatenate([[0], np.cumsum(counts)])
-                        places = np.repeat(starts[some] - before[:-1], counts)
-                        ids = flat[places + np.arange(before[-1])]
-                        at = before[bounds[first : stop + 1] - bounds[first]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys.slice(first, stop - first),
-                            pa.ListArray.from_arrays(
-                                pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))
-                            ),
-                        ],
-                        names=["doc_id", "ids"],
-                    )
-                    first = stop
-
-    return placed.mapInArrow(run, schema)
+            texts = batch.column(1).cast(pa.large_string()).fill_null("")
+            for start, stop in blocks_of(texts, block_chars):
+                ids = encode_block(texts.slice(start, stop - start), table)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, stop - start), ids], names=schema.names
+                )
+
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

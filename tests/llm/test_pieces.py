@@ -50,7 +50,28 @@ def test_odd_rows(spark, odd, block_chars):
     assert Counter(r["decoded"] for r in rows) == Counter(r["text"] or "" for r in rows_of(odd))
 
 
-def test_empty_table_and_every_word_once(spark, empty, odd):
+def test_words_are_segmented_once(monkeypatch):
+    asked = Counter()
+    real = sentence_pieces.segment_words
+
+    def counted(model, words):
+        asked.update(words)
+        return real(model, words)
+
+    monkeypatch.setattr(sentence_pieces, "segment_words", counted)
+    table = sentence_pieces.WordTable(MODEL)
+    lib = sentence_pieces.processor(MODEL)
+    texts = ["a b a  b", "", "b a ", "c " * 50]
+    for _ in range(2):
+        ids = sentence_pieces.encode_block(pa.array(texts, pa.large_string()), table)
+        assert ids.to_pylist() == [lib.encode(t) for t in texts]
+    assert set(asked) == {"a", "b", " b", "c", ""} and set(asked.values()) == {1}
+    small = sentence_pieces.WordTable(MODEL, max_kept=2)
+    ids = sentence_pieces.encode_block(pa.array(texts, pa.large_string()), small)
+    assert ids.to_pylist() == [lib.encode(t) for t in texts]
+
+
+def test_empty_table_and_empty_texts(spark, empty, odd):
     assert rows_of(sentence_pieces.encode(empty, MODEL)) == []
     only_empty = odd.where("text is null or text = ''")
     assert [r["ids"] for r in rows_of(sentence_pieces.encode(only_empty, MODEL))] == [[]] * 2
