@@ -20,7 +20,7 @@ def test_upsert_overwrites_and_preserves_first_insert_time(spark):
     inc = _stored(spark, [entry(patients_tested=2), entry(month="2024-03-01")], "run-B", TS2)
     out = {str(r.report_month): r for r in up.upsert(t, inc, preserve=("ingested_at",)).collect()}
     assert len(out) == 3
-    jan = out["2024-01-01"]
+    jan = out["2019-03-01"]
     assert jan.patients_tested == 2 and jan.run_id == "run-B"
     assert str(jan.ingested_at) == "2024-01-01 00:00:00"
     assert out["2024-02-01"].run_id == "run-A"
