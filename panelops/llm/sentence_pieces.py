@@ -178,7 +178,12 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = processor(model)
         for batch in batches:
-            texts = [lib.decode(ids.values.tolist() if len(ids) else []) for ids in batch.column(1)]
+            if not len(batch):
+                continue
+            lists = batch.column(1)
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            ids = np.split(lists.flatten().to_numpy(zero_copy_only=False), ends[:-1])
+            texts = [lib.decode(i.tolist()) if len(i) else "" for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=schema.names
             )
