@@ -1,35 +1,44 @@
-"""Gradient-boosted forecaster (D6, D7) on MLlib.
+"""Gradient-boosted forecaster (D6, D7) on :mod:`panelops.models.boosting`.
 
-``GBTRegressor`` is fitted on the label minus the training mean (sklearn's
-GBM starts from the mean; MLlib's first tree has weight 1.0 and the rest
-``stepSize``), so ``prediction = mean + sum_t w_t tree_t(x)``. MLlib fits
-each tree distributed (histogram aggregation per partition), so training
-scales with the cluster; the fitted model is a few hundred nodes.
+Squared loss; the model starts from the mean label and every tree, the first
+one too, is added with the learning rate.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelops.schemas import FORECAST_FEATURES, GBT_DEPTH, GBT_STEP, GBT_TREES, SEED
+from panelops.models import boosting
+from panelops.schemas import FORECAST_FEATURES, GBT_DEPTH, GBT_STEP, GBT_TREES
 
-VEC = "_features"
+NODE_SCHEMA = T.StructType(
+    [
+        T.StructField("tree_id", T.LongType(), False),
+        T.StructField("node_id", T.LongType(), False),
+        T.StructField("feature", T.LongType()),
+        T.StructField("cut", T.LongType()),
+        T.StructField("left", T.LongType()),
+        T.StructField("value", T.LongType()),
+        T.StructField("cover", T.LongType()),
+    ]
+)
 
 
 @dataclass
 class ForecastModel:
-    gbt: GBTRegressionModel
-    label_mean: float
+    trees: boosting.Boosted
     feature_cols: list[str]
 
-    def assembler(self) -> VectorAssembler:
-        return VectorAssembler(inputCols=self.feature_cols, outputCol=VEC, handleInvalid="keep")
+    @property
+    def label_mean(self) -> float:
+        """What every prediction starts from."""
+        return self.trees.base * self.trees.unit
 
 
 def fit_forecaster(
@@ -39,85 +48,53 @@ def fit_forecaster(
     max_iter: int = GBT_TREES,
     max_depth: int = GBT_DEPTH,
     step_size: float = GBT_STEP,
-    seed: int = SEED,
-    max_bins: int = 128,
+    max_bins: int = boosting.BINS,
 ) -> ForecastModel:
     """Fit on rows that have every feature and the label."""
     cols = list(feature_cols)
-    data = train.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("double").alias("_y"))
-    mean = data.agg(F.avg("_y")).first()[0]
-    if mean is None:
-        raise ValueError("forecaster needs at least one training row")
-    va = VectorAssembler(inputCols=cols, outputCol=VEC)
-    centred = va.transform(data.withColumn("_y", F.col("_y") - F.lit(mean))).select(VEC, "_y")
-    gbt = GBTRegressor(
-        featuresCol=VEC,
-        labelCol="_y",
-        maxIter=max_iter,
-        maxDepth=max_depth,
-        stepSize=step_size,
-        seed=seed,
-        maxBins=max_bins,
-        lossType="squared",
-        subsamplingRate=1.0,
-        # The per-row prediction error is checkpointed (to the shared
-        # checkpoint folder) every 50 rounds instead of 10: each checkpoint
-        # rewrites one value per training row, while a lost partition only
-        # replays at most 50 tree predictions for its own rows.
-        checkpointInterval=50,
-    )
-    return ForecastModel(gbt.fit(centred), float(mean), cols)
+    trees = boosting.fit(train, cols, label, max_iter, max_depth, step_size, max_bins)
+    return ForecastModel(trees, cols)
 
 
 def predict(df: DataFrame, model: ForecastModel, out_col: str = "prediction") -> DataFrame:
     """Append ``out_col``; rows with a missing feature get NULL."""
-    complete = F.lit(True)
-    for c in model.feature_cols:
-        complete = complete & F.col(c).isNotNull()
-    assembled = model.assembler().transform(df)
-    gbt = model.gbt.copy()
-    gbt.setFeaturesCol(VEC).setPredictionCol("_pred")
-    out = gbt.transform(assembled)
-    return out.withColumn(
-        out_col, F.when(complete, F.col("_pred") + F.lit(model.label_mean))
-    ).drop("_pred", VEC)
-
-
-def tree_nodes(model: ForecastModel, spark: SparkSession, path: str) -> pd.DataFrame:
-    """Node table of the fitted ensemble (bounded: trees * (2^(depth+1) - 1)
-    rows) read from the saved model: tree, node, children, split, cover,
-    leaf value and tree weight."""
-    data = spark.read.parquet(f"{path}/gbt/data")
-    pdf = data.select(
-        F.col("treeID").alias("tree_id"),
-        F.col("nodeData.id").alias("node_id"),
-        F.col("nodeData.prediction").alias("value"),
-        F.col("nodeData.rawCount").cast("double").alias("cover"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias(
-            "threshold"
-        ),
-    ).toPandas()
-    weights = list(model.gbt.treeWeights)
-    pdf["weight"] = pdf["tree_id"].map(lambda t: weights[int(t)])
-    return pdf.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
+    return boosting.predict(df, model.trees, model.feature_cols, out_col)
+
+
+def tree_nodes(model: ForecastModel) -> pd.DataFrame:
+    """Node table of the ensemble (bounded: trees * (2^(depth+1) - 1) rows)
+    for attributions: tree, node, children, split, cover, value, weight."""
+    return model.trees.nodes()
 
 
 def save(model: ForecastModel, spark: SparkSession, path: str) -> None:
-    model.gbt.write().overwrite().save(f"{path}/gbt")
-    spark.createDataFrame(
-        [("label_mean", repr(model.label_mean)), ("feature_cols", ",".join(model.feature_cols)),
-         ("model_type", "GBTRegressor")],
-        "key string, value string",
-    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    rows = [
+        (i, k, t.feature[k], t.cut[k], t.left[k], t.value[k], t.cover[k])
+        for i, t in enumerate(model.trees.trees)
+        for k in range(len(t.left))
+    ]
+    spark.createDataFrame(rows, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/nodes"
+    )
+    b = model.trees
+    meta = {
+        "model_type": "GradientBoostedTrees", "feature_cols": model.feature_cols, "base": b.base,
+        "shift": b.shift, "n_train": b.n, "edges": [[repr(e) for e in f] for f in b.edges],
+        "n_trees": len(b.trees),
+    }
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/meta")
 
 
 def load(spark: SparkSession, path: str) -> ForecastModel:
-    meta = {r["key"]: r["value"] for r in spark.read.parquet(f"{path}/meta").collect()}
-    return ForecastModel(
-        GBTRegressionModel.load(f"{path}/gbt"),
-        float(meta["label_mean"]),
-        meta["feature_cols"].split(","),
-    )
+    meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
+    trees = [boosting.Tree() for _ in range(meta["n_trees"])]
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes")
+    for r in nodes.orderBy("tree_id", "node_id").collect():
+        t = trees[r["tree_id"]]
+        for column in ("feature", "cut", "left", "value", "cover"):
+            getattr(t, column).append(r[column])
+    edges = [[float(e) for e in f] for f in meta["edges"]]
+    boosted = boosting.Boosted(edges, trees, meta["base"], meta["shift"], meta["n_train"])
+    return ForecastModel(boosted, meta["feature_cols"])

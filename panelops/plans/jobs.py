@@ -216,7 +216,7 @@ def train_forecast(
     m = evaluate.forecast_metrics(pred, features.TARGET_COL, "prediction", "suppression_pct")
     metrics = m.first().asDict()
     metrics["train_rows"] = train.count()
-    nodes = fc.tree_nodes(model, wh.spark, path)
+    nodes = fc.tree_nodes(model)
     explained = treeshap.explain(pred, nodes, model.feature_cols, model.label_mean)
     importance = cut_lineage(treeshap.mean_abs_shap(explained, model.feature_cols), "importance")
     files.write_csv(importance, f"{path}/importance")
@@ -227,7 +227,7 @@ def train_forecast(
     files.write_json(_document(wh, metrics), f"{path}/evaluation")
     registry.log_run(
         wh, ctx.run_id, FORECAST_MODEL_NAME, training_id,
-        {"model_type": "GBTRegressor", "n_estimators": max_iter, "max_depth": GBT_DEPTH,
+        {"model_type": "GradientBoostedTrees", "n_estimators": max_iter, "max_depth": GBT_DEPTH,
          "step_size": GBT_STEP, "random_state": SEED, "horizon_months": 3, "test_months_held_out": 4,
          "input_example": "[" + ",".join(example) + "]"},
         metrics, list(FORECAST_FEATURES), path, ctx.now,

@@ -77,9 +77,7 @@ class Fitted:
 
     @cached_property
     def nodes(self):
-        path = self._new_path()
-        fc.save(self.forecast, self.spark, path)
-        return fc.tree_nodes(self.forecast, self.spark, path)
+        return fc.tree_nodes(self.forecast)
 
     def _new_path(self) -> str:
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/panelops-model-{uuid.uuid4().hex}"

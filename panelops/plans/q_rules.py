@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from panelops.functions.reasons import build_reasons
-from panelops.models import iforest, treeshap
+from panelops.models import boosting, iforest, treeshap
+from panelops.models import forecast as fc
 from panelops.operators import evaluate, features, scoring
 from panelops.operators import upsert as up
 from panelops.operators.monitoring import anomaly_rate_drift
@@ -23,8 +24,17 @@ from panelops.plans import views
 from panelops.plans.inputs import Inputs
 from panelops.plans.oracle import with_base
 from panelops.plans.q_features import _SENTENCE_SQL
+from panelops.plans.q_models import fitted
 from panelops.plans.registry import query, r6
-from panelops.schemas import ANOMALY_FIELDS, ENTITY, FORECAST_FEATURES, KEY, PERIOD
+from panelops.schemas import (
+    ANOMALY_FIELDS,
+    ENTITY,
+    FORECAST_FEATURES,
+    IFOREST_MAX_SAMPLES,
+    IFOREST_TREES,
+    KEY,
+    PERIOD,
+)
 from panelops.session import cut_lineage
 
 _Z = [f"z_{f}" for f in ANOMALY_FIELDS]
@@ -226,24 +236,21 @@ _FOREST = [
 _C = "(2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1) / {n}::DOUBLE)"
 
 
+_SCORE_SQL = f"""pow(2, -(CASE WHEN z_patients_tested <= 1 THEN
+                        CASE WHEN z_suppression_pct <= -0.5 THEN 2 ELSE 2 + {_C.format(n=5)} END
+                      ELSE 2 END
+                    + CASE WHEN z_reporting_delay_days <= 0.75 THEN 1 + {_C.format(n=7)} ELSE 1 END)
+                  / 2 / {_C.format(n=8)})"""
+
+
 @query(
     "d2_literal_forest",
     with_base(f"""
 SELECT facility_id, report_month, round(s - 0.5, 6) AS anomaly_score, round(s, 9) > 0.5 AS is_anomaly
-FROM (
-  SELECT *, pow(2, -(CASE WHEN z_patients_tested <= 1 THEN
-                        CASE WHEN z_suppression_pct <= -0.5 THEN 2 ELSE 2 + {_C.format(n=5)} END
-                      ELSE 2 END
-                    + CASE WHEN z_reporting_delay_days <= 0.75 THEN 1 + {_C.format(n=7)} ELSE 1 END)
-                  / 2 / {_C.format(n=8)}) AS s
-  FROM zs WHERE history_count >= 2)"""),
+FROM (SELECT *, {_SCORE_SQL} AS s FROM zs WHERE history_count >= 2)"""),
 )
 def d2_literal_forest(spark, sf_dir):
-    names = ["tree_id", "node_id", "feature", "threshold", "left", "right", "size", "depth"]
-    model = iforest.IForestModel(
-        _Z, psi=8, n_trees=2, seed=0, contamination=0.05, threshold=0.5,
-        nodes=pd.DataFrame(_FOREST, columns=names),
-    )
+    model = _literal_forest()
     f = features.with_enough_history(Inputs(spark, sf_dir).anomaly_features).select(*KEY, *_Z)
     return iforest.decision(f, model).select(
         *KEY, r6("anomaly_score").alias("anomaly_score"), "is_anomaly"
@@ -358,3 +365,204 @@ def a14_improvement_trailing_mean(spark, sf_dir):
     return evaluate.forecast_metrics(
         test, features.TARGET_COL, "suppression_pct_roll3_mean", "suppression_pct"
     )
+
+
+# --- two rounds of boosting, fitted -------------------------------------------------
+_BOOST_FEATURES = ["suppression_pct", "suppression_pct_roll3_mean", "month_of_year"]
+_BOOST_BINS = 16
+_SIDE = "CASE {f} " + " ".join(
+    f"WHEN {i} THEN {c}" for i, c in enumerate(_BOOST_FEATURES)
+) + " END <= {cut}"
+
+
+def _stump(name: str, rows: str) -> dict:
+    """The split with the largest gain on ``left`` and its two leaf values."""
+    return {
+        name: f"""
+  SELECT *, 0.1 * sl / nl AS low, 0.1 * (s - sl) / (n - nl) AS high FROM (
+    SELECT e.f, e.cut, count(*) AS nl, sum(r.rest) AS sl, any_value(t.n) AS n, any_value(t.s) AS s
+    FROM edges e JOIN long l ON l.f = e.f AND l.x <= e.cut
+    JOIN {rows} r ON r.facility_id = l.facility_id AND r.report_month = l.report_month
+    CROSS JOIN (SELECT count(*) AS n, sum(rest) AS s FROM {rows}) t
+    GROUP BY e.f, e.cut)
+  WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, f, cut LIMIT 1"""
+    }
+
+
+_BOOST = {
+    "tr": """
+  SELECT facility_id, report_month, target_suppression_pct::DOUBLE AS y,
+         suppression_pct::DOUBLE AS suppression_pct, suppression_pct_roll3_mean, month_of_year
+  FROM ds WHERE report_month < (SELECT cutoff FROM cut)""",
+    "long": """
+  SELECT facility_id, report_month, unnest([0, 1, 2]) AS f,
+         unnest([suppression_pct, suppression_pct_roll3_mean, month_of_year::DOUBLE]) AS x FROM tr""",
+    "edges": f"""
+  SELECT DISTINCT f, x AS cut FROM (
+    SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) - 1 AS rank,
+           count(*) OVER (PARTITION BY f) AS n FROM long)
+  WHERE list_contains(list_transform(range(1, {_BOOST_BINS}), lambda j: j * n // {_BOOST_BINS}), rank)""",
+    "rest1": "SELECT *, y - (SELECT avg(y) FROM tr) AS rest FROM tr",
+    **_stump("stump1", "rest1"),
+    "rest2": "SELECT r.* REPLACE (rest - CASE WHEN "
+    + _SIDE.format(f="t.f", cut="t.cut") + " THEN t.low ELSE t.high END AS rest) FROM rest1 r, stump1 t",
+    **_stump("stump2", "rest2"),
+}
+
+
+@query(
+    "d6_two_rounds",
+    with_base(
+        f"""
+SELECT facility_id, report_month, round((SELECT avg(y) FROM tr)
+  + CASE WHEN {_SIDE.format(f="a.f", cut="a.cut")} THEN a.low ELSE a.high END
+  + CASE WHEN {_SIDE.format(f="b.f", cut="b.cut")} THEN b.low ELSE b.high END, 6) AS prediction
+FROM ds, stump1 a, stump2 b WHERE report_month >= (SELECT cutoff FROM cut)""",
+        _BOOST,
+    ),
+)
+def d6_two_rounds(spark, sf_dir):
+    """Two single-split trees fitted on the training months, their
+    forecast of the held-out ones."""
+    train, test = features.time_split(cut_lineage(Inputs(spark, sf_dir).dataset))
+    model = fc.fit_forecaster(
+        train, features.TARGET_COL, _BOOST_FEATURES, max_iter=2, max_depth=1, max_bins=_BOOST_BINS
+    )
+    return fc.predict(test, model).select(*KEY, r6("prediction").alias("prediction"))
+
+
+# --- fitted models: what must hold of any fit --------------------------------------
+_TRAIN = "SELECT count(*) AS n FROM zs WHERE history_count >= 2"
+
+
+@query(
+    "d1_forest_shape",
+    with_base(
+        f"""
+SELECT tree_id::INTEGER AS tree_id, psi, true AS is_binary, true AS sizes_add_up,
+       true AS depth_is_bounded
+FROM (SELECT unnest(range(0, {IFOREST_TREES})) AS tree_id, least({IFOREST_MAX_SAMPLES}, n) AS psi
+      FROM ({_TRAIN}))"""
+    ),
+)
+def d1_forest_shape(spark, sf_dir):
+    """D1, per fitted tree: it isolates psi rows, is binary, every split hands
+    all its rows on, and no path is longer than allowed."""
+    m = fitted(spark, sf_dir)
+    nodes = spark.read.parquet(f"{m.forest_path}/nodes")
+    psi = F.max(F.when(F.col("depth") == 0, F.col("size"))).cast("bigint")
+    limit = F.ceil(F.log2(F.greatest(psi, F.lit(2))))
+    inner = F.col("feature") >= 0
+    children = F.sum(F.when(F.col("depth") > 0, F.col("size")).otherwise(0))
+    return nodes.groupBy(F.col("tree_id").cast("int").alias("tree_id")).agg(
+        psi.alias("psi"),
+        (F.count(F.lit(1)) == 2 * F.count_if(~inner) - 1).alias("is_binary"),
+        (children == F.sum(F.when(inner, F.col("size")).otherwise(0))).alias("sizes_add_up"),
+        (F.max("depth") <= limit).alias("depth_is_bounded"),
+    )
+
+
+@query(
+    "d3_threshold_share",
+    with_base(
+        f"SELECT n AS n_train, least({IFOREST_MAX_SAMPLES}, n) AS psi, "
+        "n - 1 - floor((n - 1) * 0.95)::BIGINT AS n_above, true AS threshold_splits_there "
+        f"FROM ({_TRAIN})"
+    ),
+)
+def d3_threshold_share(spark, sf_dir):
+    """D3: the threshold lies between the scores at the two ranks around the
+    contamination quantile, so exactly the rows above it are flagged (fewer
+    only where scores are tied there)."""
+    m = fitted(spark, sf_dir)
+    s = iforest.score_samples(m.train_a, m.iforest)
+    t = F.lit(m.iforest.threshold)
+    found = s.agg(
+        F.count(F.lit(1)).alias("n_train"), F.count_if(F.col("_s") > t).alias("above"),
+        F.count_if(F.col("_s") >= t).alias("from_on"),
+    )
+    n = F.col("n_train")
+    expected = n - 1 - F.floor((n - 1) * F.lit(1 - m.iforest.contamination)).cast("bigint")
+    return found.select(
+        "n_train", F.lit(m.iforest.psi).cast("bigint").alias("psi"), expected.alias("n_above"),
+        ((F.col("above") <= expected) & (F.col("from_on") >= expected)).alias(
+            "threshold_splits_there"
+        ),
+    )
+
+
+@query(
+    "d13_scored_keys",
+    _sql("""
+SELECT facility_id, report_month, forecast_next_quarter_suppression_pct IS NOT NULL AS has_forecast,
+       true AS flag_follows_score, true AS reasons_follow_flag, true AS forecast_is_percent FROM sc"""),
+)
+def d13_scored_keys(spark, sf_dir):
+    """D13 with the fitted models: which rows are scored and forecast, and
+    what must hold of each."""
+    m = fitted(spark, sf_dir)
+    s = scoring.score_all(m.clean, m.facilities, m.iforest, m.forecast)
+    forecast = F.col(scoring.FORECAST_COL)
+    explained = F.size(F.coalesce("anomaly_reasons", F.array())) > 0
+    return s.select(
+        *KEY, forecast.isNotNull().alias("has_forecast"),
+        (F.col("is_anomaly") == (F.col("anomaly_score") > 0)).alias("flag_follows_score"),
+        (F.col("is_anomaly") | ~explained).alias("reasons_follow_flag"),
+        F.coalesce(forecast.between(0, 100), F.lit(True)).alias("forecast_is_percent"),
+    )
+
+
+def _literal_forest() -> iforest.IForestModel:
+    names = ["tree_id", "node_id", "feature", "threshold", "left", "right", "size", "depth"]
+    return iforest.IForestModel(
+        _Z, psi=8, n_trees=2, seed=0, contamination=0.05, threshold=0.5,
+        nodes=pd.DataFrame(_FOREST, columns=names),
+    )
+
+
+def _literal_forecaster() -> fc.ForecastModel:
+    """70, and 2.5 more where the month's suppression is above 80 percent."""
+    tree = boosting.Tree(feature=[0, -1, -1], cut=[0, -1, -1], left=[1, -1, -1], value=[0, 0, 5],
+                         cover=[10, 4, 6])
+    return fc.ForecastModel(
+        boosting.Boosted([[80.0]], [tree], base=140, shift=1, n=10), ["suppression_pct"]
+    )
+
+
+@query(
+    "p6_point_scores_rule",
+    with_base(
+        f"""
+SELECT facility_id AS entity_id, report_month,
+       CASE WHEN history_count < 2 THEN 'insufficient_history' ELSE 'ok' END AS status,
+       CASE WHEN history_count >= 2 THEN round(s, 9) > 0.5 END AS is_anomaly,
+       CASE WHEN history_count >= 2 THEN round(s - 0.5, 6) END AS anomaly_score,
+       CASE WHEN history_count >= 2 AND complete
+            THEN CASE WHEN suppression_pct <= 80 THEN 70.0 ELSE 72.5 END::DOUBLE END AS forecast
+FROM (
+  SELECT z.*, {_SCORE_SQL} AS s,
+         EXISTS (SELECT 1 FROM ff f WHERE f.facility_id = z.facility_id
+                 AND f.report_month = z.report_month AND {_LAGS}) AS complete
+  FROM zs z
+  WHERE z.report_month = (SELECT max(report_month) FROM clean c WHERE c.facility_id = z.facility_id)
+    AND z.facility_id IN (SELECT min(facility_id) FROM clean
+                          UNION ALL SELECT max(facility_id) FROM clean))
+UNION ALL SELECT 'S-unknown', NULL, 'not_found', NULL, NULL, NULL"""
+    ),
+)
+def p6_point_scores_rule(spark, sf_dir):
+    """P6, J10 and B10 on literal models: the first and the last entity of the
+    clean table and an id that does not occur."""
+    i = Inputs(spark, sf_dir)
+    clean = cut_lineage(i.clean)
+    ends = clean.agg(F.min(ENTITY), F.max(ENTITY)).first()
+    out = None
+    for entity in [*ends, "S-unknown"]:
+        one = scoring.score_entity(
+            clean, i.facilities, entity, _literal_forest(), _literal_forecaster(), "1", "1"
+        ).select(
+            "entity_id", PERIOD, "status", "is_anomaly", r6("anomaly_score").alias("anomaly_score"),
+            r6(scoring.FORECAST_COL).alias("forecast"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -95,9 +95,7 @@ def test_treeshap_matches_brute_force_and_is_additive(spark):
     pdf["y"] = pdf.a * 2 + np.where(pdf.b > 0, 3, -1) + pdf.c * pdf.a + rng.normal(scale=0.1, size=300)
     df = spark.createDataFrame(pdf)
     m = fc.fit_forecaster(df, "y", feature_cols=["a", "b", "c", "d"], max_iter=5, max_depth=3)
-    d = tempfile.mkdtemp(dir="/tmp")
-    fc.save(m, spark, d)
-    nodes = fc.tree_nodes(m, spark, d)
+    nodes = fc.tree_nodes(m)
     x = pdf[["a", "b", "c", "d"]].to_numpy()[:20]
     phi, base = treeshap.shap_values(x, treeshap.compile_trees(nodes), 4)
     for row in range(3):
