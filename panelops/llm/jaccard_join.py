@@ -446,9 +446,22 @@ def link_documents(docs: DataFrame) -> DataFrame:
         F.min("doc").alias("rep"), F.first("p").alias("p")
     )
     classes = cut_lineage(classes, "classes")
-    members = metas.join(classes.select(*same, "rep"), same, "left").select("doc", "n", "rep")
-    rep_of = members.where(F.col("rep").isNotNull()).groupBy("doc").agg(F.min("rep").alias("rep"))
-    rep_of = cut_lineage(rep_of, "reps")
+    members = metas.join(classes.select(*same, "rep"), same).where(F.col("doc").isNotNull())
+    pairs = cut_lineage(members.select("doc", "rep").distinct(), "reps")
+    # Rows of one id with different texts are one node: their classes are
+    # joined, and from here on a group of joined classes has one name.
+    least = pairs.groupBy("doc").agg(F.min("rep").alias("least"))
+    joined = cut_lineage(
+        pairs.join(least, "doc").where(F.col("rep") != F.col("least")).select(
+            F.col("least").alias("a"), F.col("rep").alias("b")
+        ).distinct(),
+        "joined",
+    )
+    names = components(joined).select(F.col("node").alias("rep"), F.col("component").alias("name"))
+    name = F.coalesce("name", "rep")
+    classes = cut_lineage(classes.join(names, "rep", "left").withColumn("name", name), "named")
+    rep_of = least.withColumnRenamed("least", "rep").join(names, "rep", "left")
+    rep_of = cut_lineage(rep_of.select("doc", name.alias("rep")), "names")
 
     # Candidate edges between documents, then between class representatives.
     lists = posted.where(F.col("range") >= 0).select("range", "n", "tokens", "members")
@@ -461,12 +474,20 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
     a = rep_of.select(F.col("doc").alias("a"), F.col("rep").alias("ra"))
     b = rep_of.select(F.col("doc").alias("b"), F.col("rep").alias("rb"))
-    sizes = classes.groupBy("rep").agg(F.max("n").alias("n"), F.max("p").alias("p"))
-    sa = sizes.select(F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    sb = sizes.select(F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    rest = F.greatest(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    reachable = (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (
-        (100 + PERCENT) * (F.col("c") + rest) >= PERCENT * (F.col("na") + F.col("nb"))
+    sizes = classes.groupBy("name").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("p")).alias("rest")
+    )
+    of = lambda m: [F.col(c).alias(f"{c}_{m}") for c in ("lo", "hi", "rest")]
+    sa = sizes.select(F.col("name").alias("ra"), *of("a"))
+    sb = sizes.select(F.col("name").alias("rb"), *of("b"))
+    # Some set of the one and some set of the other may still link.
+    reachable = (
+        (100 * F.col("hi_a") >= PERCENT * F.col("lo_b"))
+        & (100 * F.col("hi_b") >= PERCENT * F.col("lo_a"))
+        & (
+            (100 + PERCENT) * (F.col("c") + F.greatest("rest_a", "rest_b"))
+            >= PERCENT * (F.col("lo_a") + F.col("lo_b"))
+        )
     )
     candidates = (
         edges.join(a, "a").join(b, "b").where(F.col("ra") != F.col("rb"))
@@ -476,8 +497,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
         .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     )
     clusters = components(candidates)
-    links = _links(docs, clusters, sizes)
-    linked = components(links)
+    named = classes.groupBy("name", "rep").agg(F.sum("n").alias("n"))
+    links = _links(docs, clusters, named)
+    linked = components(links.unionByName(joined))
 
     comp = rep_of.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc", F.coalesce("component", "rep").alias("component")
@@ -501,12 +523,12 @@ def _local_stars(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _links(docs: DataFrame, clusters: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links (a, b) inside the clusters, searched block by block."""
+def _links(docs: DataFrame, clusters: DataFrame, named: DataFrame) -> DataFrame:
+    """Links (a, b) inside the clusters, searched block by block. ``named``:
+    name, rep (the document whose text stands for a class), n."""
     placed = cut_lineage(
-        clusters.select(F.col("node").alias("doc"), F.col("component").alias("cluster")).join(
-            sizes.select(F.col("rep").alias("doc"), "n"), "doc"
-        ),
+        clusters.select(F.col("node").alias("name"), F.col("component").alias("cluster"))
+        .join(named, "name").select(F.col("rep").alias("doc"), "cluster", "n"),
         "clusters",
     )
     blocks = placed.groupBy("cluster").agg(
