@@ -29,8 +29,9 @@ replies is a hot key on the other, which AQE's skew join splits.
 
 Defined cases: null role and text count as empty; a null tree id is a tree of
 its own, messages without a node id are left out; a parent that does not
-exist makes its message a root; messages of a reply cycle have no root and
-are left out; repeated rows of a linear table are turns of their own, ordered
+exist makes its message a root; messages of a reply cycle, and those that hang
+from one, have no root and are left out; branches of equal score are ranked
+by length, then leaf id; texts of any length are carried whole; repeated rows of a linear table are turns of their own, ordered
 by (turn, role, text); an empty table gives no rows; other columns are
 ignored.
 """
@@ -49,7 +50,6 @@ END = "<|im_end|>\n"
 CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
 CONTROL_ESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\]|<SYS>>|</SYS>>)"
 LEARNED_ROLE = "assistant"
-MAX_ROUNDS = 40
 
 
 def escape(text: Column) -> Column:
@@ -85,9 +85,16 @@ def linear_tree(turns: DataFrame) -> DataFrame:
     )
 
 
-def _jumps(messages: DataFrame) -> list[DataFrame]:
+def _jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
     """J_0, J_1, ...: (tree, node, up, gain) where ``gain`` is the score sum of
-    the 2^k messages from ``node`` upwards, itself included."""
+    the 2^k messages from ``node`` upwards, itself included; and the messages
+    without a root, if there are any.
+
+    A message that is as many replies above its first ancestor as its tree has
+    messages has met one twice: it is on a reply cycle or hangs from one.
+    """
+    largest = messages.groupBy("tree").agg(F.count_distinct("node").alias("n"))
+    largest = largest.agg(F.max("n")).first()[0] or 0
     parents = messages.select("tree", F.col("node").alias("parent"))
     linked = messages.where(F.col("parent").isNotNull()).select("tree", "node", "parent", "score")
     level = cut_lineage(
@@ -98,7 +105,10 @@ def _jumps(messages: DataFrame) -> list[DataFrame]:
         "jump",
     )
     found = []
-    while len(found) < MAX_ROUNDS and not level.isEmpty():
+    while not level.isEmpty():
+        if 1 << len(found) >= largest:
+            rootless = level.select("tree", "node").distinct()
+            return [j.join(rootless, ["tree", "node"], "left_anti") for j in found], rootless
         found.append(level)
         far = level.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"),
                            F.col("gain").alias("_gain"))
@@ -109,7 +119,7 @@ def _jumps(messages: DataFrame) -> list[DataFrame]:
             ),
             "jump",
         )
-    return found
+    return found, None
 
 
 def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
@@ -119,7 +129,9 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
     ``branches``: how many leaves per tree, by descending branch score; None
     for all.
     """
-    jumps = _jumps(messages)
+    jumps, rootless = _jumps(messages)
+    if rootless is not None:
+        messages = messages.join(rootless, ["tree", "node"], "left_anti")
     parents = messages.where(F.col("parent").isNotNull()).select(
         "tree", F.col("parent").alias("node")
     ).distinct()
@@ -171,11 +183,12 @@ def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
 def format_conversations(messages: DataFrame, branches: int | None = None) -> DataFrame:
     """One row per chosen path: tree, leaf, branch_rank, n_turns, formatted,
     loss_spans. ``messages``: tree, node, parent, role, text, score."""
-    # Joins need a key that is never null: a null tree is a tree of its own.
+    # Joins need a key that is never null: a null tree is a tree of its own,
+    # and its key is none of a string tree.
     messages = cut_lineage(
         messages.where(F.col("node").isNotNull()).select(
             F.col("tree").alias("_tree"),
-            F.coalesce(F.col("tree").cast("string"), F.lit("\0")).alias("tree"),
+            F.coalesce(F.concat(F.lit("="), F.col("tree").cast("string")), F.lit("")).alias("tree"),
             "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
             F.coalesce("text", F.lit("")).alias("text"),
             F.coalesce("score", F.lit(0.0)).cast("double").alias("score"),
