@@ -22,7 +22,8 @@ Kinds and parsers (start and end in code points, end exclusive):
 The first four are the leftmost non-overlapping matches of their kind, and a
 failing match uses up its text. The others are added and never replace them.
 
-Defined cases: a null or empty text has no spans; spans of different kinds may
+Defined cases: a null or empty text has no spans; an empty table gives no
+rows; spans of different kinds may
 overlap; every row is judged by itself, so repeated rows give equal results;
 very long texts are one pass with memory for the spans only. ``find_spans``
 adds one column; other columns stay, whatever their names.
@@ -52,10 +53,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+")
-_SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,15}\Z")
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _USERINFO = re.compile(r"://[^\s/?#@:\"<>]+:[^\s/?#@\"<>]+@[^\s/?#\"<>]+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_VALUE = re.compile(r"[\"']?[ ]{0,2}(?::=|[:=])[ ]{0,2}[\"']?([A-Za-z0-9+/_.~-]{6,512})")
+_VALUE = re.compile(r"[\"']?[ ]{0,2}(?::=|[:=])[ ]{0,2}[\"']?([A-Za-z0-9+/_.~-]{6,})")
 
 
 def luhn(digits: str) -> bool:
@@ -91,8 +93,7 @@ def automaton():
     for d in "0123456789":
         a.add_word(d, ("digit", 1))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            a.add_word(form, ("cue", len(form)))
+        a.add_word(cue, ("cue", len(cue)))
     a.make_automaton()
     return a
 
@@ -109,7 +110,8 @@ class Expander:
         out: list[tuple[str, int, int]] = []
         # How far each kind has used up the text.
         email = card = phone = dotted = iban = account = 0
-        for last, (what, size) in self.anchors.iter(text):
+        # A-Z folded, and nothing else, so that positions stay.
+        for last, (what, size) in self.anchors.iter(text.translate(_FOLD)):
             at = last - size + 1
             if what == "digit":
                 if at >= dotted:
@@ -142,10 +144,14 @@ class Expander:
                         if 8 <= n <= 15 or (n == 99 and self._few(text, at, end)):
                             out.append(("phone", at, end))
             elif what == "scheme":
-                m = _USERINFO.match(text, at)
-                s = _SCHEME.search(text[max(0, at - 16) : at])
-                if m and s:
-                    out.append(("login", at - len(s[0]), m.end()))
+                if m := _USERINFO.match(text, at):
+                    start = at
+                    while start and text[start - 1] in _SCHEME:
+                        start -= 1
+                    while start < at and text[start] in "0123456789+.-":
+                        start += 1
+                    if start < at:
+                        out.append(("login", start, m.end()))
             elif at >= account:
                 m = _VALUE.match(text, last + 1)
                 if m and any("0" <= c <= "9" for c in m[1]):
