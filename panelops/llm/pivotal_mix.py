@@ -30,7 +30,8 @@ Native: DataFrame functions only.
 
 Defined cases: a null text has size 0; documents of size 0 have the whole part
 of their source's copies (they hold no words); rows equal in doc_id, source
-and size share one decision and count together; a null source is a source of
+and size are units of their own, told apart by a number (which row has which
+number is not defined, nor does it matter); a null source is a source of
 its own, last in order; an empty table gives no rows; extra columns are
 ignored.
 """
@@ -139,8 +140,8 @@ def _round_level(
 
 
 def copies(units: DataFrame) -> DataFrame:
-    """Copies of each unit. ``units``: doc_id, source, size, n (rows that
-    share the decision), want (copies wanted, a real number).
+    """Copies of each unit. ``units``: doc_id, source, size, nth (tells equal
+    rows apart), want (copies wanted, a real number).
 
     Returns doc_id, source, size, copies.
     """
@@ -148,8 +149,8 @@ def copies(units: DataFrame) -> DataFrame:
     fraction = F.when(F.col("size") > 0, F.col("want") - whole).otherwise(0.0)
     start = cut_lineage(
         units.select(
-            "source", (-F.col("size") * F.col("n")).cast("double").alias("order"),
-            F.xxhash64("doc_id", "source", "size").alias("h"), "doc_id", "size",
+            "source", (-F.col("size")).cast("double").alias("order"),
+            F.xxhash64("doc_id", "source", "size", "nth").alias("h"), "doc_id", "size",
             whole.alias("copies"), fraction.alias("p"),
         ),
         "units",
@@ -205,7 +206,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
         docs.select("doc_id", "source", size_of(F.col("text")).alias("size")),
         "sizes",
     )
-    units = rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("n"))
+    units = rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("n")).select(
+        *UNIT, F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("nth")
+    )
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut_lineage(source_targets(sources, weights, total_share, max_epochs), "targets")
     t = targets.withColumnRenamed("source", "_s")
@@ -213,13 +216,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, total_share=TOTAL_SHARE,
     # Never above the cap, whatever the last bit of the quotient says.
     want = F.least(wanted, F.lit(float(max_epochs)))
     priced = units.join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
-        *UNIT, "n", want.alias("want")
+        *UNIT, "nth", want.alias("want")
     )
-    decided = copies(priced)
-    decided = decided.select(*[F.col(c).alias(f"_{c}") for c in UNIT], "copies")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in UNIT]
-    return (
-        rows.join(decided, same)
-        .join(t, F.col("source").eqNullSafe(F.col("_s")))
-        .select(*UNIT, "source_size", "target", "copies")
+    # Units are the rows: equal rows differ in nothing that is returned.
+    return copies(priced).join(t, F.col("source").eqNullSafe(F.col("_s"))).select(
+        *UNIT, "source_size", "target", "copies"
     )
