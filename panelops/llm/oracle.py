@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from panelops.llm.url_reputation import SUFFIXES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 CONVERSATIONS = r"""
@@ -97,11 +99,21 @@ o AS (
     try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\.html)?/?$', 1), '') AS BIGINT)
   GROUP BY host
 ),
+names AS (
+  SELECT DISTINCT host, str_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS parts FROM q
+),
+depth AS (
+  SELECT host, parts, CASE
+      WHEN regexp_full_match(array_to_string(parts, '.'), '[0-9]+(\.[0-9]+){{3}}')
+        OR starts_with(host, '[') THEN 0
+      WHEN array_to_string(parts[-2:], '.') IN ({", ".join(f"'{s}'" for s in SUFFIXES)}) THEN 2
+      ELSE 1 END AS k FROM names
+),
 h AS (
-  SELECT host, array_to_string(str_split(host, '.')[-2:], '.') AS domain,
-    str_split(host, '.')[-1] AS suffix,
+  SELECT host, array_to_string(CASE WHEN k = 0 THEN parts ELSE parts[-(k + 1):] END, '.') AS domain,
+    array_to_string(CASE WHEN k = 0 THEN parts ELSE parts[-k:] END, '.') AS suffix,
     coalesce(n, 0)::DOUBLE AS n, coalesce(good, 0)::DOUBLE AS good
-  FROM (SELECT DISTINCT host FROM q) LEFT JOIN o USING (host)
+  FROM depth LEFT JOIN o USING (host)
 ),
 c AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS prior,
              coalesce(sum(n), 0) + 2 AS strength FROM h),
@@ -113,15 +125,16 @@ d0 AS (
     SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM h GROUP BY suffix, domain) g
   JOIN s1 USING (suffix)
 ),
-d1 AS ({_shrunk("d0", "domain")}),
-h0 AS (SELECT h.host, h.n, h.good, d1.prior, d1.strength FROM h JOIN d1 USING (domain)),
-h1 AS ({_shrunk("h0", "host")}),
+d1 AS ({_shrunk("d0", "suffix, domain")}),
+h0 AS (SELECT h.host, h.n, h.good, d1.prior, d1.strength, d1.n AS domain_n
+       FROM h JOIN d1 USING (suffix, domain)),
+h1 AS ({_shrunk("h0", "host, domain_n")}),
 b AS (
-  SELECT host, prior AS mean, round(prior + 1.645 * sqrt(prior * (1 - prior) / (strength + 1)), 6)
+  SELECT host, domain_n, prior AS mean, round(prior + 1.645 * sqrt(prior * (1 - prior) / (strength + 1)), 6)
     AS upper FROM h1
 ),
 r AS (
-  SELECT q.*, b.mean, b.upper, CASE
+  SELECT q.*, b.mean, b.upper, b.domain_n, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/')
       THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/')
@@ -134,7 +147,7 @@ r AS (
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
        WHEN rule IS NOT NULL THEN 'block'
-       WHEN upper < 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       WHEN upper < 0.5 AND domain_n > 0 THEN 'block' ELSE 'allow' END AS verdict,
   round(mean, 6) AS reputation, upper
 FROM r
 """

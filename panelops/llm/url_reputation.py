@@ -1,7 +1,10 @@
 """URL filter: explicit rules first, then empirical-Bayes host reputation.
 
 Labelled page outcomes (good or bad) are counted per host, per registered
-domain (last two labels) and per suffix (last label). Each level's share of
+domain and per suffix. A suffix is the last label, or the last two where they
+are on the table of two-label suffixes (a parameter); a registered domain is a
+suffix and the label before it. A numeric address is its own domain and
+suffix. A port does not belong to the host here. Each level's share of
 good pages is shrunk towards its parent with a beta-binomial prior:
 
     corpus:  Beta(1, 1) posterior mean of all outcomes
@@ -12,13 +15,15 @@ good pages is shrunk towards its parent with a beta-binomial prior:
 The strengths m come from the data (``concentration``), and no prior is stronger
 than the evidence and prior it was formed from, so a host of an unseen domain
 stays uncertain however alike the hosts of seen domains are. A host is blocked when
-even the upper end of its posterior (mean + z sd) stays below ``min_good``:
-little evidence never blocks.
+even the upper end of its posterior (mean + z sd) stays below ``min_good`` and
+its registered domain has outcomes: little evidence never blocks, and neither
+does a suffix alone.
 
 Defined cases: a null url, or one without ``://``, has empty host and path,
 fits no rule and has no evidence of its own (it gets the corpus prior). Hosts
 without labelled pages get their domain's (or suffix's, or the corpus')
-posterior. Repeated rows count as often as they occur. Without any outcome
+posterior. An empty table gives no rows; of rules of equal length the one that
+is first by name wins; urls of any length are looked at whole. Repeated rows count as often as they occur. Without any outcome
 everything not blocked by a rule is allowed. Extra columns are ignored.
 
 Scale: outcomes are pre-aggregated to one row per host before any further
@@ -56,6 +61,14 @@ CONTRACT_RULES = [
     Rule("org", "/fr/", "allow"),
 ]
 
+# Two-label suffixes below which anybody may register (a parameter).
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "ltd.uk", "me.uk", "net.uk", "org.uk", "plc.uk", "sch.uk",
+    "com.au", "edu.au", "net.au", "org.au", "co.nz", "net.nz", "org.nz", "co.za", "org.za",
+    "ac.jp", "co.jp", "go.jp", "ne.jp", "or.jp", "com.cn", "net.cn", "org.cn", "com.tw",
+    "com.hk", "com.sg", "co.kr", "or.kr", "co.in", "net.in", "org.in", "com.br", "net.br",
+    "org.br", "com.ar", "com.mx", "com.tr", "com.ua", "com.pl", "co.il", "co.id", "co.th",
+)
 MIN_GOOD = 0.5
 Z = 1.645
 MIN_CONCENTRATION, MAX_CONCENTRATION = 2.0, 1000.0
@@ -85,12 +98,28 @@ def matched_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return hit
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def without_port(host: Column) -> Column:
+    return F.regexp_replace(host, r":[0-9]*\z", "")
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def _is_address(name: Column) -> Column:
+    return name.rlike(r"\A[0-9]+(\.[0-9]+){3}\z") | name.startswith("[")
+
+
+def suffix_of(host: Column, suffixes=SUFFIXES) -> Column:
+    name = without_port(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(_is_address(name), name).when(two.isin(*suffixes), two).otherwise(
+        F.substring_index(name, ".", -1)
+    )
+
+
+def domain_of(host: Column, suffixes=SUFFIXES) -> Column:
+    name = without_port(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(_is_address(name), name).when(
+        two.isin(*suffixes), F.substring_index(name, ".", -3)
+    ).otherwise(two)
 
 
 def concentration(units: DataFrame, prior: str) -> float:
@@ -120,11 +149,12 @@ def shrunk(units: DataFrame, m: float) -> DataFrame:
     return units.withColumns({"prior": mean, "strength": F.col("n") + weight})
 
 
-def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, hosts: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     """Posterior of every host.
 
     ``outcomes``: (host, good 0/1), one row per labelled page. ``hosts``:
-    (host), distinct. Returns host, n, good, mean, sd. The driver receives
+    (host), distinct. Returns host, n, good, mean, sd, domain_n (outcomes of
+    the registered domain). The driver receives
     the corpus share and three prior strengths, nothing else.
     """
     counted = (
@@ -135,8 +165,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
     per_host = cut_lineage(
         hosts.join(counted, "host", "full").select(
             "host",
-            domain_of(F.col("host")).alias("domain"),
-            suffix_of(F.col("host")).alias("suffix"),
+            domain_of(F.col("host"), suffixes).alias("domain"),
+            suffix_of(F.col("host"), suffixes).alias("suffix"),
             F.coalesce("n", F.lit(0)).alias("n"),
             F.coalesce("good", F.lit(0)).alias("good"),
         ),
@@ -154,11 +184,15 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
         suffixes.select("suffix", "prior", "strength"), "suffix"
     )
     domains = shrunk(domains, concentration(domains, "prior"))
-    found = per_host.join(domains.select("domain", "prior", "strength"), "domain")
+    found = per_host.join(
+        domains.select("suffix", "domain", "prior", "strength", F.col("n").alias("domain_n")),
+        ["suffix", "domain"],
+    )
     found = shrunk(found, concentration(found, "prior"))
     return found.select(
         "host", "n", "good", F.col("prior").alias("mean"),
         F.sqrt(F.col("prior") * (1 - F.col("prior")) / (F.col("strength") + 1)).alias("sd"),
+        "domain_n",
     )
 
 
@@ -168,6 +202,7 @@ def judge_urls(
     rules: list[Rule] = CONTRACT_RULES,
     min_good: float = MIN_GOOD,
     z: float = Z,
+    suffixes=SUFFIXES,
 ) -> DataFrame:
     """Verdict per page: page_id, host, path, rule, verdict, reputation, upper.
 
@@ -176,10 +211,11 @@ def judge_urls(
     host, path = url_parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     labelled = outcomes.select(url_parts(F.col("url"))[0].alias("host"), "good")
-    reputation = host_reputation(labelled, rows.select("host").distinct())
+    reputation = host_reputation(labelled, rows.select("host").distinct(), suffixes)
     upper = F.col("mean") + F.lit(z) * F.col("sd")
     hit = matched_rule(F.col("host"), F.col("path"), rules)
-    by_reputation = F.when(F.round(upper, 6) < F.lit(min_good), "block").otherwise("allow")
+    known_bad = (F.round(upper, 6) < F.lit(min_good)) & (F.col("domain_n") > 0)
+    by_reputation = F.when(known_bad, "block").otherwise("allow")
     return (
         rows.join(reputation, "host", "left")
         .withColumn("_hit", hit)

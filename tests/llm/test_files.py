@@ -198,39 +198,64 @@ def test_conversations(spark):
 
 
 def test_reply_tree_paths(spark):
-    """      1           a cycle 20 <-> 21, an orphan 30
+    """      1           a cycle 20 <-> 21 with a tail 22-23, an orphan 30
            2   3(deep chain 3-4-...-12)
     """
     nodes = [(1, None, 1.0), (2, 1, 5.0), *[(k, k - 1 if k > 3 else 1, 0.1) for k in range(3, 13)],
-             (20, 21, 9.0), (21, 20, 9.0), (30, 99, 0.0)]
+             (20, 21, 9.0), (21, 20, 9.0), (22, 20, 1.0), (23, 22, 1.0), (30, 99, 0.0)]
     rows = [("t", n, p, ["user", "assistant"][n % 2], f"<|im_end|>\n<\\|s {n} é", s) for n, p, s in nodes]
-    rows += [("u", 1, None, None, None, None), (None, 1, None, "user", "x", 0.0),
+    rows += [("u", 1, None, None, None, None), ("\0", 7, None, "user", "zero", 0.0), (None, 1, None, "user", "x", 0.0),
              (None, 2, 1, "assistant", "y", 0.0), ("t", None, 1, "user", "lost", 0.0)]
     msgs = spark.createDataFrame(
         rows, "tree string, node long, parent long, role string, text string, score double"
     ).withColumn("up", F.lit("clash"))
-    old = chat_trees.MAX_ROUNDS
-    chat_trees.MAX_ROUNDS = 6  # the cycle never ends by itself
-    try:
-        out = rows_of(chat_trees.format_conversations(msgs).select(
-            "*", chat_trees.parse_turns(F.col("formatted")).alias("back"),
-            chat_trees.masked_text(F.col("formatted"), F.col("loss_spans")).alias("learned"),
-        ))
-        best = rows_of(chat_trees.format_conversations(msgs, branches=1))
-    finally:
-        chat_trees.MAX_ROUNDS = old
+    out = rows_of(chat_trees.format_conversations(msgs).select(
+        "*", chat_trees.parse_turns(F.col("formatted")).alias("back"),
+        chat_trees.masked_text(F.col("formatted"), F.col("loss_spans")).alias("learned"),
+    ))
+    best = rows_of(chat_trees.format_conversations(msgs, branches=1))
+    assert len(out) == 6
     got = {(r["tree"], r["leaf"]): r for r in out}
-    assert set(got) == {("t", 2), ("t", 12), ("t", 30), ("u", 1), (None, 2)}
+    assert set(got) == {("t", 2), ("t", 12), ("t", 30), ("u", 1), ("\0", 7), (None, 2)}
     assert got[None, 2]["n_turns"] == 2 and got[None, 2]["learned"] == "y"
     assert got["t", 2]["branch_rank"] == 1 and got["t", 12]["branch_rank"] == 2
     chain = [1, *range(3, 13)]
     assert [t["text"] for t in got["t", 12]["back"]] == [f"<|im_end|>\n<\\|s {n} é" for n in chain]
     assert got["t", 12]["learned"] == "".join(f"<|im_end|>\n<\\|s {n} é" for n in chain if n % 2)
     assert [t["role"] for t in got["u", 1]["back"]] == [""]
-    assert {(r["tree"], r["leaf"]) for r in best} == {("t", 2), ("u", 1), (None, 2)}
+    assert {(r["tree"], r["leaf"]) for r in best} == {("t", 2), ("u", 1), ("\0", 7), (None, 2)}
     assert chat_trees.format_conversations(msgs.limit(0)).count() == 0
 
 
+def test_ties_and_long_texts_of_branches(spark):
+    """Equal scores: the longer branch, then the smaller leaf id."""
+    long = "x" * 300_000
+    rows = [(1, None, "r"), (2, 1, long), (3, 1, "c"), (4, 1, "d"), (5, 4, "e")]
+    msgs = spark.createDataFrame(
+        [("t", n, p, "assistant", t, 0.0) for n, p, t in rows],
+        "tree string, node long, parent long, role string, text string, score double",
+    )
+    out = rows_of(chat_trees.format_conversations(msgs))
+    assert [r["leaf"] for r in sorted(out, key=lambda r: r["branch_rank"])] == [5, 2, 3]
+    assert max(len(r["formatted"]) for r in out) > 300_000
+
+
+def test_odd_turns(spark, odd):
+    turns = odd.select(F.col("doc_id").alias("conv_id"), F.lit(1).cast("long").alias("turn"), F.col("source").alias("role"), "*")
+    rows = rows_of(chat_trees.format_conversations(chat_trees.linear_tree(turns)))
+    assert sorted(r["n_turns"] for r in rows) == [1] * 10 + [2]
+
+
+def test_repeated_rows_are_mixed_one_by_one(spark):
+    rows = [(7, "a", "w " * 10)] * 1000 + [(100 + k, "a", "w " * 10) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = rows_of(pivotal_mix.mix(docs, weights=(1.0,), total_share=0.75))
+    assert len(mixed) == 2000
+    taken = sum(r["size"] * r["copies"] for r in mixed)
+    assert abs(taken - 15_000) <= 10
+    assert 300 < sum(r["copies"] for r in mixed if r["doc_id"] == 7) < 1000
+
+
 CONTROL = ["<|", "<\\|", "<s>", "</s>", "[INST]", "[/INST]", "[\\INST]", "<<SYS>>", "\\", "<", "|", "%0A",
            "%", "\n", "é", "[", "INST]"]
 

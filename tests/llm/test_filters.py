@@ -153,6 +153,16 @@ def test_added_spans():
     assert ("iban", "GB82 WEST 1234 5698 7654 32") in found
 
 
+def test_long_secrets_schemes_and_cues_in_any_case():
+    spans = lambda t: {(k, t[a:b]) for k, a, b in pii_anchors.Expander().spans(t)}
+    secret = "aB3" * 300
+    assert ("account", secret) in spans(f'password = "{secret}"')
+    scheme = "averyveryverylongscheme+more" * 5
+    assert ("login", f"{scheme}://bob:pw@host.org") in spans(f"\u0130 9{scheme}://bob:pw@host.org")
+    for cue in ("ApiKey", "Api_Key", "PassWord", "TOKEN", "Secret"):
+        assert ("account", "abc123") in spans(f"\u0130\u212a {cue}=abc123")
+
+
 URLS = [
     (1, None), (2, ""), (3, "no scheme"), (4, "http://A.Example.NET/en/x?q#f"), (5, "x://net/"),
     (6, "http://b.example.com/de/1"), (7, "http://example.com/DE/1"), (8, "http://a.org/fr/"),
@@ -161,6 +171,26 @@ URLS = [
 ]
 
 
+def test_registered_domains(spark):
+    hosts = ["bbc.co.uk", "a.bbc.co.uk:80", "co.uk", "x.org", "www.x.org:8080", "10.1.2.3:99", "h", ""]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(
+        url_reputation.domain_of(F.col("host")), url_reputation.suffix_of(F.col("host")))
+    assert [tuple(r) for r in df.collect()] == [
+        ("bbc.co.uk", "co.uk"), ("bbc.co.uk", "co.uk"), ("co.uk", "co.uk"), ("x.org", "org"),
+        ("x.org", "org"), ("10.1.2.3", "10.1.2.3"), ("h", "h"), ("", ""),
+    ]
+    # Ten bad hosts below a shared suffix do not make a stranger there bad.
+    outcomes = [(f"http://h{k}.co.uk/1", 0) for k in range(10) for _ in range(40)]
+    outcomes += [(f"http://g{k}.com/1", 1) for k in range(10) for _ in range(40)]
+    pages = [(1, "http://bbc.co.uk/"), (2, "http://h3.co.uk/x"), (3, "http://" + "l" * 200_000 + ".com/"),
+             (4, "http://h3.co.uk:80/y")]
+    got = {r["page_id"]: r["verdict"] for r in rows_of(url_reputation.judge_urls(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame(outcomes, "url string, good int"),
+        rules=[url_reputation.Rule("b.org", "/x", "block"), url_reputation.Rule("a.org", "/x", "allow")]))}
+    assert got == {1: "allow", 2: "block", 3: "allow", 4: "block"}
+
+
 def test_url_rules_and_parts(spark):
     pages = spark.createDataFrame(URLS, "page_id long, url string").withColumn("host", F.lit("x"))
     outcomes = spark.createDataFrame(
@@ -181,7 +211,8 @@ def test_url_rules_and_parts(spark):
     assert got[11] == ("b:", "//c/d", None, "allow")
     assert got[12][2:] == (None, "allow")
     assert got[13][3] == "block"  # 60 bad pages
-    assert got[14][:3] == ("bad.org:80", "/p", None) and got[14][3] == "allow"
+    # The port is part of the host, not of the domain whose pages are bad.
+    assert got[14] == ("bad.org:80", "/p", None, "block")
     none = url_reputation.judge_urls(pages, outcomes.limit(0))
     assert {r["verdict"] for r in rows_of(none.where("rule is null"))} == {"allow"}
     assert url_reputation.judge_urls(pages.limit(0), outcomes).count() == 0

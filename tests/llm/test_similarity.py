@@ -130,6 +130,23 @@ def test_join_with_tight_limits(spark, tight):
     assert len(set(comp.values())) < len(docs) - 30
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w x"
+    df = spark.createDataFrame([(3, a), (5, a), (5, b), (4, b), (9, "z")], "doc_id long, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in rows_of(jaccard_join.link_documents(df))} == {
+        (3, 3), (5, 3), (4, 3), (9, 9)
+    }
+
+
+def test_repeated_ids_with_tight_limits(spark, tight):
+    """Ids that hold several texts join what their texts link to."""
+    docs = [(i % 60, t) for i, t in near_copies(seed=4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    comp = brute.components(docs)
+    got = linked(jaccard_join.link_documents(df))
+    assert got == {(i, len(brute.shingles(t)), comp[i]) for i, t in docs}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 25), min_size=1, max_size=12), min_size=2, max_size=30))
 def test_divide_skip_finds_every_component(sets):
@@ -203,7 +220,7 @@ def test_pipeline_stage_by_stage(spark):
 def test_pipeline_odd_rows(spark, odd, empty):
     for docs in (odd, empty):
         out = docs
-        for name, stage in corpus_pipeline.STAGES[1:]:
+        for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, SMALL)
             assert name == "best-fit packing" or out.columns == corpus_pipeline.COLUMNS
         assert (out.count() > 0) == (docs is odd)
