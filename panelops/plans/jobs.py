@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelops.functions.scalars import input_example
 from panelops.models import forecast as fc
 from panelops.models import iforest, registry, treeshap
-from panelops.operators import checks, evaluate, features, report, scoring
+from panelops.operators import checks, evaluate, features, history, report, scoring
 from panelops.operators import upsert as up
 from panelops.schemas import (
     ANOMALY_FIELDS,
@@ -54,25 +54,27 @@ class RunContext:
 
 
 def _scoped(fn):
-    """Run a job inside a lineage scope: its intermediate cuts are deleted
-    when it returns (results are plain dicts, tables are already written)."""
+    """Run a job as one transaction inside a lineage scope: its table writes
+    become visible together when it returns, and its intermediate cuts are
+    deleted then (results are plain dicts)."""
     import functools
 
     @functools.wraps(fn)
     def wrapper(wh, *args, **kwargs):
-        with lineage_scope(wh.spark):
+        with lineage_scope(wh.spark), wh.transaction():
             return fn(wh, *args, **kwargs)
 
     return wrapper
 
 
 # --- P1 -------------------------------------------------------------------------
+@_scoped
 def ingest(
     wh: tb.Warehouse, facilities: DataFrame, raw: DataFrame, ctx: RunContext, source_file: str
 ) -> dict:
     """S11 facilities upsert, S10 full refresh of the landing zone, S9 stamp."""
     fac = up.upsert(
-        wh.read(tb.FACILITIES_TABLE, FACILITIES) if wh.exists(wh.path(tb.FACILITIES_TABLE))
+        wh.read(tb.FACILITIES_TABLE, FACILITIES) if wh.has(tb.FACILITIES_TABLE)
         else facilities.limit(0),
         facilities,
         keys=[ENTITY],
@@ -117,10 +119,14 @@ def validate(wh: tb.Warehouse, ctx: RunContext, retract_scope: str = "same_run")
     merged = up.upsert_clean(
         stored, incoming, quarantined, ctx.run_id, retract_scope=retract_scope
     )
-    wh.overwrite_touched(tb.CLEAN_TABLE, cut_lineage(merged), touched)
+    merged = cut_lineage(merged, "merged")
+    wh.overwrite_touched(tb.CLEAN_TABLE, merged, touched)
+    # The entities' moments, from the touched months alone.
+    state = history.changed(wh.read(tb.HISTORY_TABLE), stored, merged)
+    wh.replace_small(tb.HISTORY_TABLE, cut_lineage(state, "history"))
 
     # Cascade: scored rows whose key left the clean table go too.
-    if wh.exists(wh.path(tb.SCORED_TABLE)):
+    if wh.has(tb.SCORED_TABLE):
         scored = wh.read(tb.SCORED_TABLE).where(in_batch)
         kept = up.cascade_retraction(scored, wh.read(tb.CLEAN_TABLE).where(in_batch))
         wh.overwrite_touched(tb.SCORED_TABLE, cut_lineage(kept), touched)

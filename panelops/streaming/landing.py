@@ -47,10 +47,12 @@ def landing_batch_handler(
         stamped = up.stamp_lineage(
             batch.select(*RAW_REPORT.names), run_id, dag_logical_date, "stream", now
         ).select(*tb.SCHEMAS[tb.RAW_TABLE].names)
-        wh.replace_partition(tb.RAW_TABLE, stamped, run_id)
-        if wh.read(tb.RAW_TABLE).where(f"run_id = '{run_id}'").limit(1).count() == 0:
-            return  # empty micro-batch: nothing to validate
-        report = jobs.validate(wh, jobs.RunContext(run_id, dag_logical_date, now))
+        # The landed rows and what the checks make of them appear together.
+        with wh.transaction():
+            wh.replace_partition(tb.RAW_TABLE, stamped, run_id)
+            if wh.read(tb.RAW_TABLE).where(f"run_id = '{run_id}'").limit(1).count() == 0:
+                return  # empty micro-batch: nothing to validate
+            report = jobs.validate(wh, jobs.RunContext(run_id, dag_logical_date, now))
         if on_report is not None:
             on_report(report)
 

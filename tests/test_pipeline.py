@@ -152,7 +152,7 @@ def test_a_month_gets_few_files_and_bad_rows_are_refused(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    files = glob.glob(f"{wh.path(tb.CLEAN_TABLE)}/report_month=*/*.parquet")
+    files = glob.glob(f"{wh.path(tb.CLEAN_TABLE)}/v=*/report_month=*/*.parquet")
     assert len(files) <= 12 * tb.FILES_PER_VALUE and wh.read(tb.CLEAN_TABLE).count() == len(rows)
 
     one = df.limit(1)
