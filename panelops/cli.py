@@ -60,7 +60,9 @@ def main(argv: list[str] | None = None) -> int:
     add("train-forecast", run, date, now, models, (["--trees"], {"type": int, "default": 150}))
     add("register", run, now, (["--model-name"], {"required": True}),
         (["--gate-metric"], {"help": "promote only if better than the current version on it"}),
-        (["--higher-is-better"], {"action": "store_true"}))
+        (["--higher-is-better"], {"action": "store_true"}),
+        (["--paired-gate"], {"action": "store_true", "help": "promote only if the paired "
+                             "bootstrap interval of the MAE difference is below 0"}))
     add("score", run, date, now)
     add("quality-alert", (["--report-file"], {"required": True}))
     add("publish", (["--report-file"], {"required": True}), (["--score-file"], {"required": True}),
@@ -97,8 +99,11 @@ def main(argv: list[str] | None = None) -> int:
         from panelops.models import registry
 
         gate = (args.gate_metric, not args.higher_is_better) if args.gate_metric else None
-        res = {"model_name": args.model_name, "run_id": args.run_id,
-               "version": registry.register(wh, args.run_id, args.model_name, args.now, gate)}
+        done = registry.register(
+            wh, args.run_id, args.model_name, args.now, gate, args.paired_gate
+        )
+        res = {"model_name": args.model_name, "run_id": args.run_id, "version": str(done),
+               "promoted": done.promoted, "reason": done.reason}
     elif args.cmd == "score":
         res = jobs.score(wh, ctx)
     elif args.cmd == "quality-alert":

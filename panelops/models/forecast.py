@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelops.models import boosting
+from panelops.models.signature import enforce, signature_of
 from panelops.schemas import FORECAST_FEATURES, GBT_DEPTH, GBT_STEP, GBT_TREES
 
 NODE_SCHEMA = T.StructType(
@@ -34,6 +35,7 @@ NODE_SCHEMA = T.StructType(
 class ForecastModel:
     trees: boosting.Boosted
     feature_cols: list[str]
+    signature: dict | None = None
 
     @property
     def label_mean(self) -> float:
@@ -53,11 +55,13 @@ def fit_forecaster(
     """Fit on rows that have every feature and the label."""
     cols = list(feature_cols)
     trees = boosting.fit(train, cols, label, max_iter, max_depth, step_size, max_bins)
-    return ForecastModel(trees, cols)
+    return ForecastModel(trees, cols, signature_of(train, cols, {"prediction": "double"}))
 
 
 def predict(df: DataFrame, model: ForecastModel, out_col: str = "prediction") -> DataFrame:
-    """Append ``out_col``; rows with a missing feature get NULL."""
+    """Append ``out_col``; rows with a missing feature get NULL. The
+    columns have to fit the model's signature."""
+    enforce(df, model.signature)
     return boosting.predict(df, model.trees, model.feature_cols, out_col)
 
 
@@ -80,7 +84,7 @@ def save(model: ForecastModel, spark: SparkSession, path: str) -> None:
     meta = {
         "model_type": "GradientBoostedTrees", "feature_cols": model.feature_cols, "base": b.base,
         "shift": b.shift, "n_train": b.n, "edges": [[repr(e) for e in f] for f in b.edges],
-        "n_trees": len(b.trees),
+        "n_trees": len(b.trees), "signature": model.signature,
     }
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
         "overwrite"
@@ -97,4 +101,4 @@ def load(spark: SparkSession, path: str) -> ForecastModel:
             getattr(t, column).append(r[column])
     edges = [[float(e) for e in f] for f in meta["edges"]]
     boosted = boosting.Boosted(edges, trees, meta["base"], meta["shift"], meta["n_train"])
-    return ForecastModel(boosted, meta["feature_cols"])
+    return ForecastModel(boosted, meta["feature_cols"], meta["signature"])

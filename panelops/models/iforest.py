@@ -28,6 +28,7 @@ and ``is_anomaly = s > thr`` (the sign convention of the reference).
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass, field
 
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelops.functions.quantiles import weighted_quantile
+from panelops.models.signature import enforce, signature_of
 from panelops.schemas import CONTAMINATION, IFOREST_MAX_SAMPLES, IFOREST_TREES, SEED
 from panelops.session import cut_lineage
 
@@ -150,6 +152,7 @@ class IForestModel:
     threshold: float = float("nan")
     n_train: int = 0
     nodes: pd.DataFrame = field(default_factory=pd.DataFrame)
+    signature: dict | None = None
 
     # --- arrays for vectorised traversal -------------------------------------
     def arrays(self):
@@ -246,6 +249,9 @@ def fit_iforest(
         contamination=contamination,
         n_train=n,
         nodes=node_pdf,
+        signature=signature_of(
+            df, feature_cols, {"anomaly_score": "double", "is_anomaly": "boolean"}
+        ),
     )
     counted = score_samples(data, model).groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))
     q = 1.0 - contamination
@@ -273,7 +279,9 @@ def score_samples(df: DataFrame, model: IForestModel, out_col: str = "_s") -> Da
 
 
 def decision(df: DataFrame, model: IForestModel) -> DataFrame:
-    """``anomaly_score = s - thr``, ``is_anomaly = s > thr``."""
+    """``anomaly_score = s - thr``, ``is_anomaly = s > thr``. The columns
+    have to fit the model's signature."""
+    enforce(df, model.signature)
     s = score_samples(df, model)
     thr = F.lit(model.threshold)
     return s.withColumn("anomaly_score", F.col("_s") - thr).withColumn(
@@ -293,6 +301,7 @@ def save(model: IForestModel, spark: SparkSession, path: str) -> None:
         "contamination": repr(model.contamination),
         "threshold": repr(model.threshold),
         "n_train": str(model.n_train),
+        "signature": json.dumps(model.signature),
     }
     spark.createDataFrame([(k, v) for k, v in meta.items()], "key string, value string").coalesce(
         1
@@ -311,4 +320,5 @@ def load(spark: SparkSession, path: str) -> IForestModel:
         threshold=float(meta["threshold"]),
         n_train=int(meta["n_train"]),
         nodes=nodes,
+        signature=json.loads(meta["signature"]),
     )

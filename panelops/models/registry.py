@@ -27,6 +27,7 @@ RUNS_SCHEMA = T.StructType(
         T.StructField("features", T.ArrayType(T.StringType())),
         T.StructField("details", T.StringType()),
         T.StructField("model_path", T.StringType()),
+        T.StructField("signature", T.StringType()),
         T.StructField("logged_at", T.TimestampNTZType()),
     ]
 )
@@ -64,6 +65,7 @@ def log_run(
     features: list[str],
     model_path: str,
     logged_at: str,
+    signature: dict | None = None,
 ) -> None:
     """Append one row per training. Numbers go to ``metrics``; the whole
     document, text and nested values included, to ``details`` as JSON."""
@@ -76,6 +78,7 @@ def log_run(
         list(features),
         json.dumps(metrics, default=str, sort_keys=True),
         model_path,
+        json.dumps(signature) if signature else None,
     )
     df = wh.spark.createDataFrame([row], T.StructType(RUNS_SCHEMA.fields[:-1])).withColumn(
         "logged_at", F.lit(logged_at).cast("timestamp_ntz")
@@ -83,6 +86,19 @@ def log_run(
     wh.append_small(RUNS_TABLE, df)
 
 
+class Registered(str):
+    """The version in use after ``register``; ``promoted`` tells whether this
+    training is it, ``reason`` why not."""
+
+    promoted: bool
+    reason: str | None
+
+    def __new__(cls, version: str, promoted: bool = True, reason: str | None = None):
+        out = super().__new__(cls, version)
+        out.promoted, out.reason = promoted, reason
+        return out
+
+
 def versions(wh: Warehouse) -> DataFrame:
     return wh.read(VERSIONS_TABLE, VERSIONS_SCHEMA)
 
@@ -102,13 +118,17 @@ def register(
     model_name: str,
     registered_at: str,
     gate: tuple[str, bool] | None = None,
-) -> str:
+    paired: bool = False,
+) -> Registered:
     """R2: promote the last training of a run to version max+1 of
     ``model_name``; a training that has a version keeps it.
 
-    ``gate`` (X4): (metric, lower is better). A training that does not beat
-    the current version on it is not promoted; the current version is
-    returned."""
+    X4, two gates. ``paired``: the training was compared with the current
+    version on the same held-out rows (``mae_difference_upper`` in its
+    metrics), and is promoted only if the upper end of the interval of the
+    difference is below 0. ``gate``: (metric, lower is better), each on its
+    own rows. A training that is held back leaves the current version, which
+    is returned with ``promoted`` false and the reason."""
     runs = trainings(wh, run_id, model_name)
     run = runs.orderBy(F.desc("training_id")).select("model_path").limit(1).collect()
     if not run:
@@ -117,8 +137,21 @@ def register(
         (F.col("model_name") == model_name) & (F.col("model_path") == run[0]["model_path"])
     ).select("version").first()
     if known:
-        return known["version"]
-    if gate and versions(wh).where(F.col("model_name") == model_name).limit(1).count():
+        return Registered(known["version"])
+    has_current = (paired or gate) and not versions(wh).where(
+        F.col("model_name") == model_name
+    ).isEmpty()
+    if paired and has_current:
+        current, _ = resolve_latest(wh, model_name)
+        found = run_metrics(wh, run_id, model_name)
+        if "mae_difference_upper" not in found:
+            raise LookupError(f"run {run_id} was not compared with version {current}")
+        low, up = found["mae_difference_lower"], found["mae_difference_upper"]
+        if not up < 0:
+            return Registered(
+                current, False, f"MAE difference {low:.6g} to {up:.6g} is not below 0"
+            )
+    if gate and has_current:
         metric, lower_is_better = gate
         current, path = resolve_latest(wh, model_name)
         held = wh.read(RUNS_TABLE, RUNS_SCHEMA).where(F.col("model_path") == path).first()
@@ -126,7 +159,7 @@ def register(
             run_metrics(wh, run_id, model_name), held and dict(held["metrics"]), metric,
             lower_is_better,
         ):
-            return current
+            return Registered(current, False, f"not better than version {current} on {metric}")
     cur = (
         versions(wh)
         .where(F.col("model_name") == model_name)
@@ -139,7 +172,7 @@ def register(
         T.StructType(VERSIONS_SCHEMA.fields[:-1]),
     ).withColumn("registered_at", F.lit(registered_at).cast("timestamp_ntz"))
     wh.append_small(VERSIONS_TABLE, df)
-    return version
+    return Registered(version)
 
 
 def resolve_latest(wh: Warehouse, model_name: str) -> tuple[str, str]:

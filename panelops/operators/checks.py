@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelops.functions.quantiles import (
     DEFAULT_MAX_GROUP_VALUES,
@@ -259,21 +258,41 @@ def completeness_gaps(
     """(entity, period) pairs of roster entities missing from the batch, over
     the months observed anywhere in the batch.
 
-    The expected roster x month grid is never built: each entity's present
-    months are one partial ``collect_set`` (at most one entry per calendar
-    month, even for an entity with millions of copies), joined to the roster,
-    and only ``array_except(all months, present months)`` is exploded, so the
-    output rows are the gaps themselves. The month set is a scalar subquery
-    bounded by the calendar span.
+    The expected roster x month grid is never built. The months of the batch
+    are numbered (a list bounded by the calendar span); an entity's months are
+    a few 64-bit words with one bit per month, set by ``bit_or``: fixed bytes
+    per entity whatever the number of its rows, added up per task before the
+    shuffle. Joined to the roster, only the months whose bit is missing are
+    exploded, so the output rows are the gaps themselves. Rows without a month
+    count for no month.
     """
-    months = batch.agg(F.array_sort(F.collect_set(period)).alias("m")).scalar()
-    present = batch.groupBy(entity).agg(F.collect_set(period).alias("_have"))
-    have = F.coalesce(F.col("_have"), F.array().cast(T.ArrayType(batch.schema[period].dataType)))
+    found = batch.where(F.col(period).isNotNull()).select(period).distinct()
+    months = sorted(r[0] for r in found.collect())
+    if not months:
+        return roster.select(entity, F.lit(None).cast(batch.schema[period].dataType).alias(period)).limit(0)
+    at = F.array_position(F.lit(months), F.col(period)) - 1
+    words = -(-len(months) // 64)
+    place = F.pmod("_at", F.lit(64)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    present = (
+        batch.where(F.col(period).isNotNull()).select(entity, at.alias("_at")).groupBy(entity)
+        .agg(*[
+            F.bit_or(F.when(F.floor(F.col("_at") / 64) == w, bit).otherwise(F.lit(0).cast("bigint")))
+            .alias(f"_w{w}") for w in range(words)
+        ])
+    )
+    have = F.array(*[F.coalesce(f"_w{w}", F.lit(0).cast("bigint")) for w in range(words)])
+    missing = F.filter(
+        F.sequence(F.lit(0), F.lit(len(months) - 1)),
+        lambda i: F.getbit(F.get("_have", F.floor(i / 64).cast("int")), F.pmod(i, F.lit(64)).cast("int")) == 0,
+    )
     return (
         roster.select(entity)
         .distinct()
         .join(present, entity, "left")
-        .select(entity, F.explode(F.array_except(months, have)).alias(period))
+        .select(entity, have.alias("_have"))
+        .select(entity, F.explode(missing).alias("_at"))
+        .select(entity, F.element_at(F.lit(months), F.col("_at") + 1).alias(period))
     )
 
 

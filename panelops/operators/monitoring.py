@@ -6,6 +6,8 @@ writes; none needs a driver loop.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,92 @@ def quarantine_rate_trend(
     )
 
 
+def _reset_sum(step: str, order: Window) -> F.Column:
+    """``S_t = max(0, S_{t-1} + step_t)``, as the running sum above its running
+    minimum (0 at most); ``step`` is the running sum's column."""
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.col(step) - F.least(F.lit(0.0), F.min(step).over(upto))
+
+
+def quarantine_change_points(
+    reports: DataFrame,
+    order_col: str = "dag_logical_date",
+    baseline_runs: int = 6,
+    slack: float = 0.01,
+    cap: float = 0.02,
+    limit: float = 0.05,
+) -> DataFrame:
+    """X1 as a change-point test: per run the upper CUSUM of its quarantine
+    rate over the mean of the first ``baseline_runs`` runs, and a ``trend``.
+
+    A run adds what its rate has above the mean plus ``slack``, but at most
+    ``cap``, so that no single run reaches ``limit``: a *shift* is several runs
+    that are higher one after the other; a *spike* is a run that is above
+    mean plus slack plus cap and not part of a shift; ``baseline`` marks the
+    runs that the mean is taken from. Runs without a rate add nothing. One row
+    per run, so the window is over a small table.
+    """
+    order = Window.orderBy(order_col, "run_id")
+    rate = F.col("quarantine_rate")
+    numbered = reports.select("run_id", order_col, rate).withColumn("_n", F.row_number().over(order))
+    base = F.avg(F.when(F.col("_n") <= baseline_runs, rate)).over(Window.partitionBy(F.lit(1)))
+    later = F.col("_n") > baseline_runs
+    above = numbered.withColumn("baseline_rate", base).withColumn(
+        "_x",
+        F.when(later & rate.isNotNull(), F.least(rate - F.col("baseline_rate") - slack, F.lit(cap)))
+        .otherwise(0.0),
+    )
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Sums are compared as they are reported, at 9 places.
+    summed = above.withColumn("_c", F.sum("_x").over(upto)).withColumn(
+        "cusum", F.round(_reset_sum("_c", order), 9)
+    )
+    high = rate > F.col("baseline_rate") + F.lit(slack + cap)
+    return summed.select(
+        "run_id", order_col, "quarantine_rate", F.round("baseline_rate", 9).alias("baseline_rate"),
+        "cusum",
+        F.when(~later, "baseline").when(F.col("cusum") > limit, "shift").when(high, "spike")
+        .otherwise("stable").alias("trend"),
+    )
+
+
+def sequential_drift(
+    scored: DataFrame,
+    group_col: str = PERIOD,
+    expected: float = CONTAMINATION,
+    ratio: float = 1.5,
+    false_alarm: float = 0.001,
+) -> DataFrame:
+    """X2 over runs: a sequential probability-ratio test of the flagged share,
+    for a rate ``ratio`` times the expected one and for one as much lower.
+
+    Every run adds its log-likelihood ratio, which knows how many rows it has:
+    a small run adds little, however odd its share, and a small drift that
+    lasts adds up. A sum that falls below 0 starts again; above
+    ``ln(1 / false_alarm)`` the run is in ``drift``, ``up`` or ``down``.
+    """
+    g = scored.groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if("is_anomaly").alias("n_flagged")
+    )
+    order = Window.orderBy(group_col)  # one row per run
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    clean = F.col("n_scored") - F.col("n_flagged")
+    out = g
+    for name, p in (("up", expected * ratio), ("down", expected / ratio)):
+        step = F.col("n_flagged") * math.log(p / expected) + clean * math.log(
+            (1 - p) / (1 - expected)
+        )
+        out = out.withColumn(f"_{name}", F.sum(step).over(upto)).withColumn(
+            f"evidence_{name}", F.round(_reset_sum(f"_{name}", order), 6)
+        )
+    limit = F.lit(math.log(1 / false_alarm))
+    return out.select(
+        group_col, "n_scored", "n_flagged", "evidence_up", "evidence_down",
+        F.when(F.col("evidence_up") > limit, "up").when(F.col("evidence_down") > limit, "down")
+        .otherwise("none").alias("drift"),
+    )
+
+
 def anomaly_rate_drift(
     scored: DataFrame, group_col: str = PERIOD, expected: float = CONTAMINATION, tolerance=0.5
 ) -> DataFrame:

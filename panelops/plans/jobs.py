@@ -196,7 +196,7 @@ def train_anomaly(
         {"model_type": "IsolationForest", "contamination": CONTAMINATION,
          "n_estimators": n_trees, "random_state": SEED, "z_reason_threshold": Z_REASON_THRESHOLD,
          "input_example": "[" + ",".join(example) + "]"},
-        metrics, z, path, ctx.now,
+        metrics, z, path, ctx.now, model.signature,
     )
     return metrics
 
@@ -222,6 +222,7 @@ def train_forecast(
     m = evaluate.forecast_metrics(pred, features.TARGET_COL, "prediction", "suppression_pct")
     metrics = m.first().asDict()
     metrics["train_rows"] = train.count()
+    metrics.update(_against_current(wh, pred))
     nodes = fc.tree_nodes(model)
     explained = treeshap.explain(pred, nodes, model.feature_cols, model.label_mean)
     importance = cut_lineage(treeshap.mean_abs_shap(explained, model.feature_cols), "importance")
@@ -236,11 +237,24 @@ def train_forecast(
         {"model_type": "GradientBoostedTrees", "n_estimators": max_iter, "max_depth": GBT_DEPTH,
          "step_size": GBT_STEP, "random_state": SEED, "horizon_months": 3, "test_months_held_out": 4,
          "input_example": "[" + ",".join(example) + "]"},
-        metrics, list(FORECAST_FEATURES), path, ctx.now,
+        metrics, list(FORECAST_FEATURES), path, ctx.now, model.signature,
     )
     return metrics
 
 
+def _against_current(wh: tb.Warehouse, pred: DataFrame) -> dict:
+    """This training against the current version on the same rows; empty
+    where there is no version yet."""
+    if registry.versions(wh).where(F.col("model_name") == FORECAST_MODEL_NAME).isEmpty():
+        return {}
+    version, path = registry.resolve_latest(wh, FORECAST_MODEL_NAME)
+    both = fc.predict(pred, fc.load(wh.spark, path), "current")
+    found = evaluate.paired_mae_difference(both, KEY, features.TARGET_COL, "prediction", "current")
+    row = found.first().asDict()
+    return {"compared_with_version": version,
+            **{k: v for k, v in row.items() if k.startswith("mae_difference") and v is not None}}
+
+
 # --- P4 -------------------------------------------------------------------------
 @_scoped
 def score(wh: tb.Warehouse, ctx: RunContext) -> dict:
