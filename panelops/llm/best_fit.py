@@ -10,14 +10,19 @@ closed. Closed bins are never looked at again, so memory is one number pair
 per open bin.
 
 Documents are dealt by key hash to groups of about ``group_docs`` documents,
-and each group is packed by itself as one task's stream, largest piece first
-(ties by piece and id): a group leaves at most a few part-filled sequences.
-No text and no ids are shuffled, only one small row per piece.
-
-Defined cases: a null or empty text is one piece with the end id alone;
-repeated rows are packed as often as they occur (``copy`` numbers them);
-extra columns are ignored; an empty table gives no rows. A text of any length
-is one document; its pieces are rows, not one value.
+and each group is packed by itself, online: pieces are placed in the order in
+which they arrive, which is that of a hash of their document, and none waits
+for a later one. ``open_bins`` is far below the bins that such a group would
+hold open otherwise, so the fullest does close (README has the bins that
+costs). No text and no ids are shuffled, only one small row per piece.
+
+Defined cases: a null or empty text is one piece with the end id alone; a null
+doc_id is a document like others; repeated rows are packed as often as they
+occur (``copy`` numbers them), equal ones in the order of that number; extra
+columns are ignored; an empty table gives no rows. A text of any length is one
+document; its pieces are rows, not one value. ``docs`` has to come from a
+written table: rows are numbered as they are read, and a lost executor must
+find them in the same order.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from panelops.llm.tokens import MAX_CACHED
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
-OPEN_BINS = 8192
+OPEN_BINS = 256
 GROUP_DOCS = 8192
 
 PIECE = "doc_id bigint, copy bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -50,6 +55,7 @@ class OpenBins:
         self.bits = 0  # bit f: a bin with free space f is open
         self.n_open = 0
         self.n_bins = 0
+        self.n_closed = 0  # bins closed with space left
 
     def _pop(self, free: int) -> int:
         bins = self.by_free[free]
@@ -68,6 +74,7 @@ class OpenBins:
         else:
             if self.n_open >= self.limit:
                 self._pop((self.bits & -self.bits).bit_length() - 1)  # fullest closes
+                self.n_closed += 1
             b, free = self.n_bins, self.size
             self.n_bins += 1
         left = free - length
@@ -140,15 +147,14 @@ def pack(
     group = F.pmod(F.xxhash64("doc_id", "copy"), F.lit(groups)).alias("_g")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(
-            ["length", "ids_crc32", "doc_id", "copy", "piece"],
-            ascending=[False, True, True, True, True],
-        )
+        pdf = pdf.sort_values(["_at", "doc_id", "copy", "piece"])
         bins = OpenBins(size, open_bins)
         placed = [bins.place(n) for n in pdf["length"].tolist()]
         at = np.array(placed, dtype=np.int64).reshape(-1, 2)
         pdf["sequence_id"] = (np.int64(key[0]) << 32) + at[:, 0]
         pdf["offset"] = at[:, 1]
-        return pdf.drop(columns="_g")
+        return pdf.drop(columns=["_g", "_at"])
 
-    return rows.select("*", group).groupBy("_g").applyInPandas(run, PACKED)
+    # The order of arrival: another hash than the one that makes the groups.
+    arrival = F.xxhash64(F.lit(1), "doc_id", "copy").alias("_at")
+    return rows.select("*", group, arrival).groupBy("_g").applyInPandas(run, PACKED)
