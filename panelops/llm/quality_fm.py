@@ -20,7 +20,10 @@ batches; the model is a few hundred kB and travels with the function.
 Defined cases: a null text is scored like an empty one; a null ``n_chars``
 counts as the text's length; a document with several labels has the lowest;
 without any usable label every score is 1.0 (nothing speaks against a text).
-Extra columns stay as they are.
+Repeated rows of a document are one training row (the one with the smallest
+text) and a scored row each; texts of any length are read whole; ties of the
+sample's hash go to the smaller id; an empty table gives no rows. Extra columns
+stay as they are.
 """
 
 from __future__ import annotations
@@ -215,9 +218,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     )
     # At most max_train pairs of numbers, so the join is a broadcast.
     rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(sample), "doc_id")
-    got = sorted(
-        _feature_rows(rows).collect(), key=lambda r: (r["doc_id"], bytes(r["idx"]))
-    )[:max_train]
+    # One row per id, reduced by the tasks that read them.
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.struct("text", "n_chars")).alias("_t"))
+    rows = rows.select("doc_id", "label", "_t.text", "_t.n_chars")
+    got = sorted(_feature_rows(rows).collect(), key=lambda r: r["doc_id"])
     if not got:
         return None
     data = [(np.frombuffer(r["idx"], np.int32), np.frombuffer(r["val"], np.float32)) for r in got]

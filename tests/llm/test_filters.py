@@ -1,6 +1,8 @@
 """Quality classifier, LLR rules, PII and URL reputation."""
 
 import hashlib
+import math
+import re
 import zlib
 
 import duckdb
@@ -153,6 +155,69 @@ def test_added_spans():
     assert ("iban", "GB82 WEST 1234 5698 7654 32") in found
 
 
+def plain_features(text, n_chars):
+    """index -> value, from the text alone, word by word."""
+    text = text or ""
+    words, out = text.split(), {}
+    if words:
+        counts = {}
+        for w in words:
+            b = zlib.crc32(w.encode()) % quality_fm.BUCKETS
+            counts[b] = counts.get(b, 0) + 1
+        norm = math.sqrt(sum(math.log1p(c) ** 2 for c in counts.values()))
+        out = {b: math.log1p(c) / norm for b, c in counts.items()}
+        raw, n, lines = text.encode(), len(words), text.split("\n")
+        share = lambda chars: sum(c in chars.encode() for c in raw) / len(raw)
+        other = sum(c < 32 and c not in b"\t\n\x0b\x0c\r" or c == 127 for c in raw) / len(raw)
+        stats = [
+            math.log1p(n) / 10, min(len(text) / n / 20, 2), share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+            share("0123456789") * 5, share(".,;:?'\"()-") * 3, share("#*$%&<>@~^_=+/\\{}[]`") * 3,
+            share("|") * 3, share("!") * 3, share(" \t\n\x0b\x0c\r"), len(set(words)) / n,
+            max(counts.values()) / n, 1 - len(set(lines)) / len(lines), min(n / len(lines) / 100, 1),
+            len(re.findall(r"[^\s.,;:?!'\"()\w]{2,}(?=\s|\Z)", text)) / n, other * 10,
+        ]
+        out.update({quality_fm.BUCKETS + k: s for k, s in enumerate(stats) if s})
+    size = len(text) if n_chars is None else n_chars
+    klass = min(size.bit_length(), quality_fm.SIZES - 1)
+    out[quality_fm.BUCKETS + len(quality_fm.STATS) + klass] = 0.5
+    return out
+
+
+def test_scores_equal_the_pairwise_sum(spark):
+    """Every pair of features, summed one by one, for all documents."""
+    q = f"select doc_id, text, n_chars from read_parquet('{SMALL}/documents.parquet')"
+    rng = np.random.default_rng(9)
+    v = rng.normal(0, 0.05, (quality_fm.WIDTH, quality_fm.FACTORS))
+    w = rng.normal(0, 0.3, quality_fm.WIDTH)
+    model = quality_fm.Model(0.2, w, v)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in quality_fm.score_documents(docs, model).collect()}
+    assert len(got) == 200
+    for i, text, n_chars in duckdb.sql(q).fetchall():
+        x = plain_features(text, n_chars)
+        at, value = np.array(sorted(x)), np.array([x[k] for k in sorted(x)])
+        # <v_i, v_j> x_i x_j of every pair i < j.
+        products = (v[at] @ v[at].T) * np.outer(value, value)
+        z = 0.2 + (w[at] * value).sum() + np.triu(products, 1).sum()
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
+
+
+def test_repeated_rows_are_one_training_row(spark):
+    rows = [(1, f"good words here {k}", 9) for k in range(3000)] + [(2, "bad", 3), (3, "bad", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0)], "doc_id long, label int")
+    seen = []
+    real = quality_fm.train
+    quality_fm.train = lambda data, y, *a: seen.append((len(data), y.tolist())) or real(data, y, *a)
+    try:
+        a = quality_fm.fit(docs, labels)
+        b = quality_fm.fit(docs.repartition(7), labels)
+    finally:
+        quality_fm.train = real
+    assert seen == [(3, [1.0, 0.0, 0.0])] * 2
+    assert (a.w == b.w).all() and (a.v == b.v).all()
+
+
 def test_long_secrets_schemes_and_cues_in_any_case():
     spans = lambda t: {(k, t[a:b]) for k, a, b in pii_anchors.Expander().spans(t)}
     secret = "aB3" * 300
