@@ -24,7 +24,7 @@ COUNT = {
     "broadcast joins": r"BroadcastHashJoin",
     "sort-merge joins": r"SortMergeJoin",
     "windows": r"\bWindow \[",
-    "python stages": r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython",
+    "python stages": r"MapInPandas|MapInArrow|FlatMapGroupsInPandas|ArrowEvalPython",
     "reused exchanges": r"ReusedExchange",
 }
 
