@@ -5,8 +5,9 @@ Fit (D1):
      (xxhash64 of the key, the tree id and the seed), so sampling is
      deterministic under any partitioning;
   2. every row joins the trees whose hash of it falls below
-     ``oversample * psi / n`` (``filter`` over the tree-id array, then
-     ``explode``), so any row can enter any tree at every input size;
+     ``oversample * psi / n`` (``explode`` of the tree ids, then ``where``, both
+     in generated code, which a ``filter`` over the array is not), so any row
+     can enter any tree at every input size;
   3. per tree the ``psi`` rows with the smallest hash are kept (a window over
      groups of about ``oversample * psi`` rows);
   4. ``groupBy(tree_id).applyInPandas`` grows each tree from its <= psi rows:
@@ -15,7 +16,9 @@ Fit (D1):
   Training memory is bounded by trees * psi rows whatever the input size.
 
 Score (D2): the node table (at most trees * (2 psi - 1) rows, a proven bound)
-goes to the executors as a broadcast; ``mapInPandas`` walks all trees
+goes to the executors as a broadcast, level by level with every level full
+(a leaf above the last level is repeated below itself), so that the children of
+node ``k`` are ``2 k`` and ``2 k + 1``; ``mapInPandas`` walks all trees
 vectorised over each Arrow batch. ``s = 2 ** (-E[h] / c(psi))``.
 
 Threshold (D3): the exact (1 - contamination) quantile of the training
@@ -156,20 +159,27 @@ class IForestModel:
 
     # --- arrays for vectorised traversal -------------------------------------
     def arrays(self):
+        """Per tree the features and thresholds of every level and the heights
+        of the last one, which has at most 2 ** ceil(log2 psi) places."""
         nodes = self.nodes.sort_values(["tree_id", "node_id"])
-        counts = nodes.groupby("tree_id").size().to_numpy()
-        offsets = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        leaf_h = nodes["depth"].to_numpy(float) + average_path_length(nodes["size"].to_numpy())
-        return {
-            "feature": nodes["feature"].to_numpy(np.int64),
-            "threshold": nodes["threshold"].to_numpy(float),
-            "left": nodes["left"].to_numpy(np.int64),
-            "right": nodes["right"].to_numpy(np.int64),
-            "leaf_h": leaf_h,
-            "offsets": offsets,
-            "max_depth": int(nodes["depth"].max()) if len(nodes) else 0,
-            "c_psi": float(average_path_length([self.psi])[0]),
-        }
+        height = nodes["depth"].to_numpy(float) + average_path_length(nodes["size"].to_numpy())
+        nodes = nodes.assign(height=height)
+        max_depth = int(nodes["depth"].max()) if len(nodes) else 0
+        trees = []
+        for _, t in nodes.groupby("tree_id", sort=True):
+            feature, threshold = t["feature"].to_numpy(np.int64), t["threshold"].to_numpy(float)
+            left, right = t["left"].to_numpy(np.int64), t["right"].to_numpy(np.int64)
+            at, levels = np.zeros(1, np.int64), []
+            for _ in range(max_depth):
+                inner = feature[at] >= 0
+                # Below a leaf every row goes left, to the leaf again.
+                levels.append(
+                    (np.where(inner, feature[at], 0), np.where(inner, threshold[at], np.inf))
+                )
+                below = [np.where(inner, child[at], at) for child in (left, right)]
+                at = np.column_stack(below).ravel()
+            trees.append((levels, t["height"].to_numpy()[at]))
+        return {"trees": trees, "c_psi": float(average_path_length([self.psi])[0])}
 
     def node_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.nodes, NODE_SCHEMA)
@@ -178,21 +188,19 @@ class IForestModel:
 def raw_scores(x: np.ndarray, arr: dict) -> np.ndarray:
     """s(x) for a batch: mean isolation depth over all trees, normalised."""
     n = len(x)
-    total = np.zeros(n)
-    feat, thr, left, right = arr["feature"], arr["threshold"], arr["left"], arr["right"]
-    for off in arr["offsets"]:
-        node = np.full(n, off, dtype=np.int64)
-        for _ in range(arr["max_depth"]):
-            f = feat[node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            fi = np.where(inner, f, 0)
-            v = x[np.arange(n), fi]
-            nxt = np.where(v <= thr[node], left[node], right[node]) + off
-            node = np.where(inner, nxt, node)
-        total += arr["leaf_h"][node]
-    mean_h = total / len(arr["offsets"])
+    total, rows = np.zeros(n), np.arange(n)
+    # A missing value is below no threshold, like infinity.
+    values = np.where(np.isnan(x), np.inf, x).T.ravel()
+    for levels, heights in arr["trees"]:
+        node = np.zeros(n, np.intp)
+        for feature, threshold in levels:
+            place = (feature * n).take(node)
+            place += rows
+            right = values.take(place) > threshold.take(node)
+            node += node
+            node += right
+        total += heights.take(node)
+    mean_h = total / len(arr["trees"])
     c = arr["c_psi"] if arr["c_psi"] > 0 else 1.0
     return np.power(2.0, -mean_h / c)
 
@@ -219,15 +227,9 @@ def fit_iforest(
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     tree_frac = min(1.0, oversample * psi / n)
     tree_ids = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = data.select(
-        "*",
-        F.explode(
-            F.filter(
-                tree_ids,
-                lambda t: _uniform(key_cols, t * F.lit(1_000_003) + F.lit(seed)) < F.lit(tree_frac),
-            )
-        ).alias("tree_id"),
-    ).withColumn("_u", _uniform(key_cols, F.col("tree_id") * F.lit(1_000_003) + F.lit(seed)))
+    u = _uniform(key_cols, F.col("tree_id") * F.lit(1_000_003) + F.lit(seed))
+    every = data.select("*", F.explode(tree_ids).alias("tree_id"))
+    picked = every.where(u < F.lit(tree_frac)).withColumn("_u", u)
     # Tie-break on a key hash so the order is total even if _u collides.
     picked = picked.withColumn("_rk", F.xxhash64(*[F.col(k) for k in key_cols]))
     from pyspark.sql import Window
@@ -254,6 +256,8 @@ def fit_iforest(
         ),
     )
     counted = score_samples(data, model).groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))
+    # Read by the sketch and by the selection: written, or each scores all rows.
+    counted = cut_lineage(counted, "scores")
     q = 1.0 - contamination
     thr = weighted_quantile(counted, [], "_s", "_n", q, "t", strategy=strategy).first()["t"]
     model.threshold = float(thr)
