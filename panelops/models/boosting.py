@@ -10,10 +10,14 @@ and added with the learning rate, the first one too.
    blocks of ``BLOCK_ROWS`` rows, written once to the shared checkpoint
    folder.
 3. *Levels.* A tree level is one pass: every task adds up count and residual
-   per (node, feature, bin) over its blocks and returns one row. The driver
-   adds at most ``MAX_TASKS`` such rows and chooses each node's split, largest
-   gain first, ties to the lowest feature and bin. Leaf values follow from the
-   last level's sums, so a tree of depth 3 takes three passes.
+   per (node, feature, bin) over its blocks; a shuffle by feature adds up the
+   tasks' sums and chooses each feature's best split of each node. The driver
+   gets those splits alone, a few numbers per (node, feature) whatever the
+   number of tasks, and takes each node's, largest gain first, ties to the
+   lowest feature and bin. Up to ``DIRECT_TASKS`` tasks send their sums to the
+   driver, which does the same with them: a shuffle of so little costs more
+   than the pass. Leaf values follow from the last level's sums, so a tree of
+   depth 3 takes three passes.
 4. *Refresh.* Every ``REFRESH`` trees the blocks in memory are formed again
    from the written ones with what the trees so far leave of the label, so a
    pass applies at most that many trees. Blocks are kept in memory or on disk;
@@ -52,7 +56,9 @@ from panelops.session import cut_lineage
 
 BINS = 128  # at most 256: a bin number is one byte
 BLOCK_ROWS = 16_384
-MAX_TASKS = 512  # rows of sums that the driver adds up per level
+TASK_ROWS = 16 * BLOCK_ROWS  # of a pass with more tasks than cores
+DIRECT_TASKS = 8  # the driver adds up the sums of so many tasks, a shuffle those of more
+ADDING_TASKS = 4  # tasks that add up the sums of a level
 REFRESH = 25
 BLOCK_SCHEMA = "n long, bins binary, left binary"
 
@@ -75,16 +81,24 @@ class Tree:
         self.cover.append(n)
         return len(self.left) - 1
 
-    def per_row(self, goes_left, of_leaf, node: int = 0):
-        """``of_leaf[k]`` of the leaf k of every row (a single value if the
-        node is a leaf); ``goes_left(k)`` tells it for all rows."""
+    def leaf_of(self, goes_left, node: int = 0):
+        """Number of the leaf of every row (a single number if the node is a
+        leaf); ``goes_left(k)`` tells it of node k for all rows.
+
+        By bit masks: ``np.where`` of two numbers takes ten times as long.
+        """
+        kind = np.uint8 if len(self.left) <= 256 else np.uint32
         child = self.left[node]
         if child < 0:
-            return of_leaf[node]
-        return np.where(
-            goes_left(node), self.per_row(goes_left, of_leaf, child),
-            self.per_row(goes_left, of_leaf, child + 1),
-        )
+            return kind(node)
+        left = self.leaf_of(goes_left, child)
+        right = self.leaf_of(goes_left, child + 1)
+        mask = np.negative(np.asarray(goes_left(node)).astype(kind))  # all bits or none
+        return right ^ ((left ^ right) & mask)
+
+    def per_row(self, goes_left, of_node: np.ndarray):
+        """``of_node[k]`` of the leaf k of every row."""
+        return of_node.take(self.leaf_of(goes_left))
 
 
 @dataclass
@@ -101,9 +115,11 @@ class Boosted:
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.base, np.int64)
+        columns = np.ascontiguousarray(x.T)
         for t in self.trees:
             total += t.per_row(
-                lambda k, t=t: x[:, t.feature[k]] <= self.edges[t.feature[k]][t.cut[k]], t.value
+                lambda k, t=t: columns[t.feature[k]] <= self.edges[t.feature[k]][t.cut[k]],
+                np.array(t.value, np.int64),
             )
         return total * self.unit
 
@@ -176,7 +192,9 @@ def _opened(block: Block, features: int, trees: list[Tree]) -> tuple[np.ndarray,
     bins = np.frombuffer(raw, np.uint8).reshape(features, n)
     rest = np.frombuffer(left, np.int64).copy()
     for t in trees:
-        rest -= t.per_row(lambda k, t=t: bins[t.feature[k]] <= t.cut[k], t.value)
+        rest -= t.per_row(
+            lambda k, t=t: bins[t.feature[k]] <= t.cut[k], np.array(t.value, np.int64)
+        )
     return bins, rest
 
 
@@ -190,20 +208,38 @@ def _kept(blocks: RDD, features: int, trees: list[Tree]) -> RDD:
     return blocks.map(form).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _level_sums(
+# Of one feature at one node: rows and residual of the node, then gain, cut, and
+# rows and residual on the left of the best split; gain None where there is none.
+FeatureSplit = tuple[int, int, float | None, int, int, int]
+
+
+def _feature_split(count: np.ndarray, total: np.ndarray) -> FeatureSplit:
+    """Best split of a node by one feature, from its sums per bin."""
+    n, s = int(count.sum()), int(total.sum())
+    below, sums = np.cumsum(count)[:-1], np.cumsum(total)[:-1]
+    inside = (below > 0) & (below < n)
+    if not inside.any():
+        return n, s, None, 0, 0, 0
+    nl, sl = np.where(inside, below, 1).astype(float), sums.astype(float)
+    nr, sr = np.where(inside, n - below, 1).astype(float), float(s) - sl
+    gain = np.where(inside, sl * sl / nl + sr * sr / nr - float(s) * s / n, -np.inf)
+    b = int(np.argmax(gain))  # the first of equal gains
+    return n, s, float(gain[b]), b, int(below[b]), int(sums[b])
+
+
+def _level_splits(
     blocks: RDD, trees: list[Tree], tree: Tree, nodes: list[int], features: int, bins: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """(count, residual) per (node, feature, bin) of the nodes of a level."""
-    shape = (len(nodes), features, bins)
+) -> list[list[FeatureSplit]]:
+    """Of every node of a level, the best split by each feature."""
     slots = np.full(len(tree.left), -1)
     slots[nodes] = range(len(nodes))
-    slot_of = slots.tolist()
 
-    def run(part: Iterator[Block]) -> Iterator[tuple[bytes, bytes]]:
-        count, total = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+    def run(part: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+        # Per feature: counts, then residuals, by node and bin.
+        sums = np.zeros((features, 2, len(nodes), bins), np.int64)
         for block in part:
             binned, rest = _opened(block, features, trees)
-            slot = tree.per_row(lambda k: binned[tree.feature[k]] <= tree.cut[k], slot_of)
+            slot = tree.per_row(lambda k: binned[tree.feature[k]] <= tree.cut[k], slots)
             cell0 = np.broadcast_to(np.asarray(slot, np.int64) * bins, rest.shape)
             mine = cell0 >= 0
             if not mine.all():
@@ -212,47 +248,48 @@ def _level_sums(
             for f in range(features):
                 cell = cell0 + binned[f]
                 size = len(nodes) * bins
-                count[:, f] += np.bincount(cell, minlength=size).reshape(-1, bins)
+                sums[f, 0] += np.bincount(cell, minlength=size).reshape(-1, bins)
                 # Exact: sums of a block stay below 2^53.
-                sums = np.bincount(cell, rest, minlength=size)
-                total[:, f] += sums.astype(np.int64).reshape(-1, bins)
-        yield count.tobytes(), total.tobytes()
-
-    count, total = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
-    for c, t in blocks.mapPartitions(run).collect():  # a row per task
-        count += np.frombuffer(c, np.int64).reshape(shape)
-        total += np.frombuffer(t, np.int64).reshape(shape)
-    return count, total
-
-
-def _split(count: np.ndarray, total: np.ndarray) -> tuple[int, int, int, int] | None:
-    """(feature, cut, rows left, residual left) of the best split of a node
-    (feature x bin); None where no split lowers the squared error."""
-    n, s = int(count[0].sum()), int(total[0].sum())
-    below, sums = np.cumsum(count, axis=1)[:, :-1], np.cumsum(total, axis=1)[:, :-1]
-    inside = (below > 0) & (below < n)
-    if not inside.any():
-        return None
-    nl, sl = np.where(inside, below, 1).astype(float), sums.astype(float)
-    nr, sr = np.where(inside, n - below, 1).astype(float), float(s) - sl
-    gain = np.where(inside, sl * sl / nl + sr * sr / nr - float(s) * s / n, -np.inf)
-    best = int(np.argmax(gain))  # the first of equal gains
-    f, b = divmod(best, gain.shape[1])
-    if gain[f, b] <= 0:
+                residuals = np.bincount(cell, rest, minlength=size)
+                sums[f, 1] += residuals.astype(np.int64).reshape(-1, bins)
+        yield from enumerate(sums)
+
+    def best(sums: np.ndarray) -> list[FeatureSplit]:
+        return [_feature_split(sums[0, i], sums[1, i]) for i in range(len(nodes))]
+
+    added = blocks.mapPartitions(run)
+    if blocks.getNumPartitions() > DIRECT_TASKS:
+        added = added.reduceByKey(lambda a, b: a + b, min(features, ADDING_TASKS))
+        found = dict(added.mapValues(best).collect())
+    else:
+        sums: dict[int, np.ndarray] = {}
+        for f, part in added.collect():
+            sums[f] = sums[f] + part if f in sums else part
+        found = {f: best(x) for f, x in sums.items()}
+    return [[found[f][i] for f in range(features)] for i in range(len(nodes))]
+
+
+def _split(found: list[FeatureSplit]) -> tuple[int, int, int, int] | None:
+    """(feature, cut, rows left, residual left) of the best split of a node;
+    None where no split lowers the squared error."""
+    gains = [-np.inf if g is None else g for _, _, g, _, _, _ in found]
+    f = int(np.argmax(gains))  # the first of equal gains
+    if gains[f] <= 0:
         return None
-    return f, b, int(below[f, b]), int(sums[f, b])
+    _, _, _, cut, nl, sl = found[f]
+    return f, cut, nl, sl
 
 
 def _grow(blocks, trees: list[Tree], rate: Fraction, depth: int, features: int, bins: int) -> Tree:
     tree, level, sums = Tree(), [0], {0: 0}
     tree.add(0)
     for d in range(depth):
-        count, total = _level_sums(blocks, trees, tree, level, features, bins)
+        splits = _level_splits(blocks, trees, tree, level, features, bins)
         if d == 0:
-            tree.cover[0], sums[0] = int(count[0, 0].sum()), int(total[0, 0].sum())
+            tree.cover[0], sums[0] = splits[0][0][:2]
         deeper = []
         for i, k in enumerate(level):
-            found = _split(count[i], total[i])
+            found = _split(splits[i])
             if found is None:
                 continue
             f, b, nl, sl = found
@@ -304,7 +341,12 @@ def fit(
     base = _rounded(Fraction(int(data.agg(whole).first()[0]), n))
     # No more tasks than full blocks: a pass over few rows is one task.
     packed = _blocks(data.coalesce(max(1, -(-n // BLOCK_ROWS))), edges, base, shift)
-    written = cut_lineage(packed, "boost-blocks").coalesce(MAX_TASKS).rdd.map(
+    tasks = -(-n // TASK_ROWS)
+    if tasks > DIRECT_TASKS:
+        tasks = max(tasks, rows.sparkSession.sparkContext.defaultParallelism)
+    else:
+        tasks = DIRECT_TASKS
+    written = cut_lineage(packed, "boost-blocks").coalesce(tasks).rdd.map(
         lambda r: (r["n"], bytes(r["bins"]), bytes(r["left"]))
     )
     exact_rate = Fraction(str(rate))
