@@ -18,7 +18,7 @@ Borders used, around every line feed and before every plain space:
 A chunk that is new and plain (ASCII but for the apostrophe and control
 characters, and the letters of Latin-1) is cut into its pre-tokens here, and
 the library's model merges each of them; any other new chunk goes through the
-whole tokenizer, which costs more than twice as much. How the tokenizer folds
+whole tokenizer, which costs about twice as much. How the tokenizer folds
 and maps a plain character is asked of the tokenizer itself.
 
 ``encode_special_tokens`` is set: the tokenizer's control strings in a text
