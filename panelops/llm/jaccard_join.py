@@ -6,18 +6,24 @@ over these links. The steps, none of which holds more than a bounded share:
 
 1. Document frequencies of all shingles of all documents: every task sorts
    its shingles and sends them as packed arrays per hash range; a range adds
-   them up. Shingles in at least ``heavy`` documents are the *long* lists;
-   ``heavy`` is chosen so that there can be at most MAX_HEAVY of them (total
-   shingles / heavy), which bounds their broadcast (8 bytes each).
-2. Each set is ordered by (long list, hash), and its first
+   them up. The at most MAX_HEAVY shingles of the highest frequencies (of
+   MIN_HEAVY at least) go into a table of bytes by the high bits of the hash,
+   which holds the level of a frequency, eight to a doubling. The table is the
+   broadcast, of 2^MAX_CELL_BITS bytes at most. A rare shingle that shares a
+   cell is ordered as if it were frequent, in every set alike.
+2. Each set is ordered by (level, hash), the rarest first, and its first
    ``n - ceil(0.75 n) + 1`` shingles are posted: two linked sets share at
-   least one posting. Only sets made up of long lists post any of those.
-3. Short inverted lists are merged per hash range. A list of at most
-   MAX_PAIRS documents gives its pairs, and the shared postings of a pair are
-   counted: a pair whose count and remaining shingles cannot reach the
-   required overlap is dropped. A longer list gives star edges to its smallest
-   document instead (joined locally before the shuffle, so a list with a third
-   of all documents is a few rows a task).
+   least one posting. A shingle of many documents is posted only by sets that
+   have too few rarer ones, so a corpus of any size has few long lists.
+   Postings name a set by some bits of its hash, so equal sets are one member
+   of a list however often they occur.
+3. Inverted lists are merged per hash range. A list of at most MAX_PAIRS sets
+   (or, where the table does not hold all shingles of MIN_HEAVY documents, of
+   as many as its rarest one, MAX_PAIRS_FULL at most) gives its pairs, and the
+   shared postings of a pair are counted: a pair whose count and remaining
+   shingles cannot reach the required overlap is dropped. A longer list gives
+   star edges to its smallest member instead (joined locally before the
+   shuffle, so a list with a third of all documents is a few rows a task).
 4. The components of this candidate graph are the clusters that a link cannot
    leave. Each cluster is searched in blocks of bounded size, every pair of
    blocks once, by DivideSkip (``link_forest``): the short lists of a query
@@ -53,13 +59,17 @@ from panelops.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 75
-MAX_HEAVY = 1 << 22
+MAX_HEAVY = 1 << 23
 MIN_HEAVY = 32
+MAX_CELL_BITS = 25
+LEVELS = 8  # of frequency in a doubling
 MAX_PAIRS = 32
+MAX_PAIRS_FULL = 128
+SPARE_BITS = 12  # a set's short id collides with another's once in 2^12 sets
 BLOCK_DOCS = 2000
 BLOCK_SHINGLES = 2_000_000
 FLUSH = 2_000_000  # shingles a task holds before it sends them
-DOCS_PER_RANGE = 20_000
+DOCS_PER_RANGE = 5_000
 MAX_CACHED_WORDS = 500_000
 MU = 0.0085  # DivideSkip's cost ratio
 
@@ -134,9 +144,9 @@ def _low32(tokens: np.ndarray, bits: int) -> np.ndarray:
     return ((tokens >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def heavy_shingles(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
-    """Ascending ids (``32 + bits`` high bits of the hash) of the long lists,
-    and the frequency they reach."""
+def frequency_levels(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
+    """Levels of the frequent shingles by the high bits of their hashes (0:
+    rare), and the length up to which an inverted list gives pairs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("shingle words")
@@ -176,27 +186,46 @@ def heavy_shingles(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
         low = [np.cumsum(_unplanes(t, np.uint32), dtype=np.uint32) for t in pdf["tokens"]]
         counts = [_unplanes(c, np.uint32) for c in pdf["counts"]]
         tokens, df = _sums(np.concatenate(low), np.concatenate(counts).astype(np.int64))
-        total = int(df.sum())
         keep = df >= MIN_HEAVY
         ids = (np.int64(key[0]) << 32) | tokens[keep].astype(np.int64)
-        return pd.DataFrame(
-            {"token": np.append(ids, -1), "df": np.append(df[keep], total)}
-        )
+        levels = 1 + np.floor(LEVELS * np.log2(df[keep] / MIN_HEAVY)).astype(np.int64)
+        return pd.DataFrame({"token": ids, "level": np.minimum(levels, 255)})
 
     packed = docs.select("text").mapInArrow(count, "range int, tokens binary, counts binary")
     counted = cut_lineage(
-        packed.groupBy("range").applyInPandas(add_up, "token long, df long"), "frequent"
+        packed.groupBy("range").applyInPandas(add_up, "token long, level int"), "frequent"
     )
-    total = counted.where("token < 0").agg(F.sum("df")).first()[0] or 0
-    heavy = max(MIN_HEAVY, -(-total // MAX_HEAVY))
-    # At most MAX_HEAVY rows, as their frequencies add up to no more than the total.
-    rows = counted.where((F.col("token") >= 0) & (F.col("df") >= heavy)).select("token").toArrow()
-    return np.sort(rows.column(0).to_numpy()).astype(np.uint64), heavy
-
-
-def _postings(docs: DataFrame, heavy, bits: int) -> DataFrame:
+    # At most 255 rows.
+    by_level = dict(counted.groupBy("level").agg(F.count(F.lit(1))).collect())
+    least, held = 256, 0
+    while least > 1 and held + by_level.get(least - 1, 0) <= MAX_HEAVY:
+        least -= 1
+        held += by_level.get(least, 0)
+    # Four cells for each shingle.
+    cell_bits = max(bits, min(MAX_CELL_BITS, (4 * held).bit_length()))
+    rows = counted.where(F.col("level") >= least).select(
+        F.shiftrightunsigned("token", 32 + bits - cell_bits).cast("int").alias("cell"),
+        F.col("level").cast("short").alias("level"),
+    ).toArrow()
+    table = np.zeros(1 << cell_bits, np.uint8)
+    np.maximum.at(table, rows.column(0).to_numpy(), rows.column(1).to_numpy().astype(np.uint8))
+    full = math.ceil(MIN_HEAVY * 2 ** ((least - 1) / LEVELS)) if least > 1 else 0
+    return table, max(MAX_PAIRS, min(full, MAX_PAIRS_FULL))
+
+
+def _rarest(s: np.ndarray, levels: np.ndarray, p: int) -> np.ndarray:
+    """The first ``p`` shingles of a set in the order of (level, hash)."""
+    bits = len(levels).bit_length() - 1
+    level = levels[(s >> np.uint64(64 - bits)).astype(np.int64)]
+    rare = s[level == 0]
+    return rare[:p] if len(rare) >= p else s[np.argsort(level, kind="stable")[:p]]
+
+
+def _postings(docs: DataFrame, levels, bits: int, most: int, id_bits: int) -> DataFrame:
     """Two kinds of rows: one per document (doc, n, p and 128 bits of its
-    set), and packed postings or star edges (range, tokens, members)."""
+    set), and packed postings or star edges (range, tokens, members). Members
+    are sets, named by the ``id_bits`` low bits of h1."""
+    mask = (1 << id_bits) - 1
     schema = "doc long, n int, p int, h1 long, h2 long, range int, tokens binary, members binary"
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(),
              pa.binary()]
@@ -212,28 +241,30 @@ def _postings(docs: DataFrame, heavy, bits: int) -> DataFrame:
         import xxhash
 
         claim("shingle words")
-        long_lists = heavy.value
-        shift = np.uint64(32 - bits)
+        table = levels.value
         tokens: list[np.ndarray] = []
         owners: list[np.ndarray] = []
+        seen: set[bytes] = set()
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             t, d = np.concatenate(tokens), np.concatenate(owners)
             order = np.lexsort((d, t))
             t, d = t[order], d[order]
+            new = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])])
+            t, d = t[new], d[new]
             first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
             length = np.diff(np.concatenate([first, [len(t)]]))
             # Long local lists: star edges here, and only the first member goes
             # on, in a row of its own kind (n = 1).
-            within = np.repeat(length > MAX_PAIRS, length)
+            within = np.repeat(length > most, length)
             if within.any():
                 start = np.repeat(d[first], length)
                 edges = np.unique(np.stack([start[within], d[within]], axis=1), axis=0)
                 edges = np.ascontiguousarray(edges[edges[:, 0] != edges[:, 1]])
                 if len(edges):
                     yield batch_of([(None, 0, None, None, None, -1, None, edges.tobytes())])
-            heads = first[length > MAX_PAIRS]
+            heads = first[length > most]
             rows = []
             for mark, tt, dd in ((0, t[~within], d[~within]), (1, t[heads], d[heads])):
                 low = _low32(tt, bits)
@@ -253,38 +284,39 @@ def _postings(docs: DataFrame, heavy, bits: int) -> DataFrame:
                     (doc, n, p, int.from_bytes(h[:8], "little", signed=True),
                      int.from_bytes(h[8:], "little", signed=True), None, None, None)
                 )
-                if not n or doc is None:
+                if not n or doc is None or h in seen:
                     continue
-                if len(long_lists):
-                    ids = s >> shift
-                    at = np.minimum(np.searchsorted(long_lists, ids), len(long_lists) - 1)
-                    long = long_lists[at] == ids
-                    s = np.concatenate([s[~long], s[long]])
-                tokens.append(s[:p])
-                owners.append(np.full(p, doc, np.int64))
+                seen.add(h)
+                tokens.append(_rarest(s, table, p))
+                owners.append(np.full(p, docs_out[-1][3] & mask, np.int64))
                 size += p
             if docs_out:
                 yield batch_of(docs_out)
             if size >= FLUSH:
                 yield from flush()
                 tokens, owners, size = [], [], 0
+                seen.clear()
         if size:
             yield from flush()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _list_edges(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of the short lists (with the number of lists a pair shares within
-    this range) and star edges (count 0) of the long lists of one range."""
+def _list_edges(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Pairs of the lists of at most ``most`` sets (with the number of lists a
+    pair shares within this range) and star edges (count 0) of the longer ones
+    of one range."""
     tokens = np.concatenate([np.cumsum(_unplanes(t, np.uint32), dtype=np.uint32) for t in pdf["tokens"]])
     members = [_unplanes(m, np.int64) for m in pdf["members"]]
     marks = np.repeat(pdf["n"].to_numpy() == 1, [len(m) for m in members])
-    order = np.argsort(tokens, kind="stable")
-    t, d, marked = tokens[order], np.concatenate(members)[order], marks[order]
+    d = np.concatenate(members)
+    order = np.lexsort((~marks, d, tokens))  # of equal postings a marked one is first
+    t, d, marked = tokens[order], d[order], marks[order]
+    new = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])])
+    t, d, marked = t[new], d[new], marked[new]
     first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
     length = np.diff(np.concatenate([first, [len(t)]]))
-    long = (length > MAX_PAIRS) | (np.logical_or.reduceat(marked, first))
+    long = (length > most) | (np.logical_or.reduceat(marked, first))
     a_out, b_out, c_out = [], [], []
     stars = np.repeat(long & (length > 1), length)
     if stars.any():
@@ -436,8 +468,11 @@ def link_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     n_docs = docs.count()
     bits = min(max(8, math.ceil(math.log2(max(n_docs, 1) / DOCS_PER_RANGE + 1))), 20)
-    long_lists, _ = heavy_shingles(docs, bits)
-    posted = cut_lineage(_postings(docs, spark.sparkContext.broadcast(long_lists), bits), "postings")
+    levels, most = frequency_levels(docs, bits)
+    id_bits = min(63, n_docs.bit_length() + SPARE_BITS)
+    posted = cut_lineage(
+        _postings(docs, spark.sparkContext.broadcast(levels), bits, most, id_bits), "postings"
+    )
 
     # Documents and their classes of equal sets.
     metas = posted.where(F.col("range").isNull()).select("doc", "n", "p", "h1", "h2")
@@ -463,17 +498,27 @@ def link_documents(docs: DataFrame) -> DataFrame:
     rep_of = least.withColumnRenamed("least", "rep").join(names, "rep", "left")
     rep_of = cut_lineage(rep_of.select("doc", name.alias("rep")), "names")
 
-    # Candidate edges between documents, then between class representatives.
+    # Candidate edges between sets by their short ids, then between names.
+    # What edges of one short id mean holds for each set that has it, and such
+    # sets are candidates of each other.
     lists = posted.where(F.col("range") >= 0).select("range", "n", "tokens", "members")
-    found = lists.groupBy("range").applyInPandas(_list_edges, "a long, b long, c long")
+    found = lists.groupBy("range").applyInPandas(
+        lambda pdf: _list_edges(pdf, most), "a long, b long, c long"
+    )
     local = _local_stars(posted.where(F.col("range") == -1).select("members"))
     edges = (
         found.unionByName(local.withColumn("c", F.lit(0).cast("bigint")))
         .groupBy("a", "b")
         .agg(F.sum("c").alias("c"), F.max(F.when(F.col("c") == 0, 1).otherwise(0)).alias("star"))
     )
-    a = rep_of.select(F.col("doc").alias("a"), F.col("rep").alias("ra"))
-    b = rep_of.select(F.col("doc").alias("b"), F.col("rep").alias("rb"))
+    short = F.col("h1").bitwiseAND(F.lit((1 << id_bits) - 1))
+    ids = cut_lineage(classes.select(short.alias("id"), "name").distinct(), "ids")
+    a = ids.select(F.col("id").alias("a"), F.col("name").alias("ra"))
+    b = ids.select(F.col("id").alias("b"), F.col("name").alias("rb"))
+    first_of = ids.groupBy("id").agg(F.min("name").alias("a"), F.max("name").alias("b"))
+    collided = first_of.where(F.col("a") != F.col("b")).select("id", "a").join(ids, "id").where(
+        F.col("a") != F.col("name")
+    ).select("a", F.col("name").alias("b"))
     sizes = classes.groupBy("name").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("p")).alias("rest")
     )
@@ -495,6 +540,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
         .join(sa, "ra").join(sb, "rb")
         .where((F.col("star") == 1) | reachable)
         .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        .unionByName(collided)
     )
     clusters = components(candidates)
     named = classes.groupBy("name", "rep").agg(F.sum("n").alias("n"))

@@ -4,6 +4,7 @@ import hashlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,6 +97,67 @@ def tight(monkeypatch):
         monkeypatch.setattr(jaccard_join, name, value)
 
 
+def copies_with_a_passage(groups=6, size=40):
+    """Groups of near copies, all with one passage that is too short to link
+    them: each shingle of a group is in 40 documents, each of the passage in 240."""
+    rng = np.random.default_rng(5)
+    word = lambda: f"w{rng.integers(0, 10**9)}"
+    passage = [word() for _ in range(30)]
+    docs = []
+    for _ in range(groups):
+        base = [word() for _ in range(60)] + passage
+        docs += [[word(), *base] for _ in range(size)]
+    return [(k, " ".join(d)) for k, d in enumerate(docs)]
+
+
+@pytest.fixture()
+def clusters_of(monkeypatch):
+    """Sizes of the clusters that a call of ``run`` searches."""
+
+    def sizes(run):
+        seen, links = [], jaccard_join._links
+
+        def kept(docs, clusters, named):
+            seen.extend(r["count"] for r in rows_of(clusters.groupBy("component").count()))
+            return links(docs, clusters, named)
+
+        with monkeypatch.context() as m:
+            m.setattr(jaccard_join, "_links", kept)
+            run()
+        return sorted(seen)
+
+    return sizes
+
+
+def test_frequent_passage_does_not_glue_clusters(spark, clusters_of):
+    docs = copies_with_a_passage()
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).cache()
+    got = []
+    assert clusters_of(lambda: got.append(linked(jaccard_join.link_documents(df)))) == [40] * 6
+    assert got == [{(i, 87, i // 40 * 40) for i, _ in docs}]
+
+
+def test_equal_sets_are_one_member_of_a_list():
+    tokens, sets = np.arange(5, dtype=np.uint32), np.array([7, 7, 7, 7, 9], np.int64)
+    row = lambda ids: (0, jaccard_join._planes(np.diff(tokens, prepend=tokens[:1] * 0)),
+                       jaccard_join._planes(ids))
+    pdf = pd.DataFrame([row(np.full(5, 7)), row(sets)] * 30, columns=["n", "tokens", "members"])
+    edges = jaccard_join._list_edges(pdf, 2)
+    assert edges.to_numpy().tolist() == [[7, 9, 1]]
+
+
+def test_join_where_short_ids_collide(spark, tight, monkeypatch):
+    """Few bits for a set's id, and a table for a few of the frequent shingles."""
+    for name, value in (("SPARE_BITS", -6), ("MAX_HEAVY", 40), ("MAX_CELL_BITS", 8)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    docs = near_copies()
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    comp = brute.components(docs)
+    assert linked(jaccard_join.link_documents(df)) == {
+        (i, len(brute.shingles(t)), comp[i]) for i, t in docs
+    }
+
+
 def near_copies(seed=3):
     """Groups of near copies around the threshold, a passage in many documents
     and a chain of documents that link only one to the next."""
