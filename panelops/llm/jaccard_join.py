@@ -154,7 +154,9 @@ def frequency_levels(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
         size = 0
 
         def flush() -> pa.RecordBatch:
-            tokens = np.sort(np.concatenate(held))
+            tokens = np.concatenate(held)
+            held.clear()
+            tokens.sort()
             first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             counts = np.diff(np.concatenate([first, [len(tokens)]])).astype(np.uint32)
             tokens = tokens[first]
@@ -178,7 +180,7 @@ def frequency_levels(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
                     size += len(s)
                 if size >= FLUSH:
                     yield flush()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield flush()
 
@@ -249,6 +251,9 @@ def _postings(docs: DataFrame, levels, bits: int, most: int, id_bits: int) -> Da
 
         def flush() -> Iterator[pa.RecordBatch]:
             t, d = np.concatenate(tokens), np.concatenate(owners)
+            tokens.clear()
+            owners.clear()
+            seen.clear()
             order = np.lexsort((d, t))
             t, d = t[order], d[order]
             new = np.concatenate([[True], (t[1:] != t[:-1]) | (d[1:] != d[:-1])])
@@ -294,8 +299,7 @@ def _postings(docs: DataFrame, levels, bits: int, most: int, id_bits: int) -> Da
                 yield batch_of(docs_out)
             if size >= FLUSH:
                 yield from flush()
-                tokens, owners, size = [], [], 0
-                seen.clear()
+                size = 0
         if size:
             yield from flush()
 

@@ -137,6 +137,17 @@ def test_frequent_passage_does_not_glue_clusters(spark, clusters_of):
     assert got == [{(i, 87, i // 40 * 40) for i, _ in docs}]
 
 
+def test_pipeline_keeps_one_of_each_group_with_a_passage(spark, clusters_of):
+    docs = [(i, t, "en", "src", len(t)) for i, t in copies_with_a_passage(groups=3)]
+    df = spark.createDataFrame(docs, ", ".join(
+        f"{c} {'long' if c in ('doc_id', 'n_chars') else 'string'}" for c in corpus_pipeline.COLUMNS
+    )).repartition(3).cache()
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    kept = []
+    assert clusters_of(lambda: kept.extend(rows_of(stage(spark, df, SMALL)))) == [40] * 3
+    assert sorted(r["doc_id"] for r in kept) == [0, 40, 80]
+
+
 def test_equal_sets_are_one_member_of_a_list():
     tokens, sets = np.arange(5, dtype=np.uint32), np.array([7, 7, 7, 7, 9], np.int64)
     row = lambda ids: (0, jaccard_join._planes(np.diff(tokens, prepend=tokens[:1] * 0)),
